@@ -207,10 +207,16 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     if whole["n"] == 0:
         return None
     place = q * (whole["n"] - 1)
-    below, above = math.floor(place), math.ceil(place)
-    lower = _value_at_rank(rows, below, whole["low"], whole["high"])
-    upper = lower if above == below else _value_at_rank(rows, above, whole["low"], whole["high"])
-    return lower + (upper - lower) * (place - below)
+    rank = math.floor(place)
+    lower = _value_at_rank(rows, rank, whole["low"], whole["high"])
+    if place == rank:
+        return lower
+    # the next value in order is the same one again or the smallest larger one
+    after = rows.agg(
+        F.count_if(F.col("v") <= lower).alias("n"), F.min(F.when(F.col("v") > lower, F.col("v"))).alias("next")
+    ).first()
+    upper = lower if after["n"] > rank + 1 else after["next"]
+    return lower + (upper - lower) * (place - rank)
 
 
 def _value_at_rank(rows: DataFrame, rank: int, low: float, high: float) -> float:

@@ -23,6 +23,21 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def enforce_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, but a key that repeats raises while the result is computed.
+
+    No extra job: rows are grouped by key, which a join on the key needs anyway, and copies collapse before the shuffle.
+    """
+    rest = [name for name in df.columns if name not in set(keys)]
+    grouped = df.groupBy(*[c(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("__rows"), F.any_value(F.struct(*[c(n) for n in rest])).alias("__row")
+    )
+    shown = F.to_json(F.struct(*[c(k) for k in keys]))
+    failed = F.raise_error(F.concat(F.lit("key repeats: "), shown)).cast(df.select(*[c(n) for n in rest]).schema)
+    checked = grouped.withColumn("__row", F.when(F.col("__rows") == 1, F.col("__row")).otherwise(failed))
+    return checked.select(*[c(k) for k in keys], "__row.*").select(*[c(n) for n in df.columns])
+
+
 def duplicate_group_ids(df: DataFrame, name: str = "iauname", subject: str = "subject_id") -> DataFrame:
     """Ids of all subjects whose external name is shared with another subject."""
     shared = repeated_keys(df.filter(c(name).isNotNull()), [name]).select(c(name))

@@ -1,8 +1,8 @@
 """Joins.
 
 None of them forces a broadcast of data that grows: Catalyst and AQE broadcast a side whose measured size is
-below the session threshold, and split the left side of skewed keys otherwise. Only :func:`lookup_side`
-hints, and only after counting.
+below the session threshold, and split the left side of skewed keys otherwise. Only :func:`lookup_join`
+hints, and only after measuring; the question dictionary is a list in the code.
 """
 
 from __future__ import annotations
@@ -14,14 +14,33 @@ from pyspark.sql import functions as F
 
 from pollfold.dictionary import QuestionSet
 from pollfold.functions.columns import c
-from pollfold.operators.checks import assert_unique
+from pollfold.operators.checks import enforce_unique
 
 UNKNOWN_MODES = ("error", "drop", "keep")
 
 
-def lookup_side(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """Mark a dimension for broadcast if it has at most ``max_rows`` rows; otherwise leave the plan to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def fits_broadcast(df: DataFrame, max_rows: int = 20_000, max_bytes: int = 32 << 20) -> bool:
+    """Whether a dimension is small, measured by one aggregate over it."""
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")
+    ).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
+def lookup_join(
+    df: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str, spread_by: str, spread: int = 16, **limits: int
+) -> DataFrame:
+    """Join with a dimension: broadcast when it measures small.
+
+    A large one joins by shuffle, with every key split into ``spread`` parts by a hash of ``spread_by``, because one
+    entry of a dimension (the version in force, say) may concern a large part of all rows.
+    """
+    if fits_broadcast(dimension, **limits):
+        return df.join(F.broadcast(dimension), list(keys), how)
+    salted = df.withColumn("__part", F.pmod(F.xxhash64(c(spread_by)), F.lit(spread)))
+    copies = dimension.select("*", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__part"))
+    copies = copies.withColumn("__part", F.col("__part").cast("bigint"))
+    return salted.join(copies, [*keys, "__part"], how).drop("__part")
 
 
 def attach(df: DataFrame, other: DataFrame, on: str | Sequence[str], required: bool = True) -> DataFrame:
@@ -36,9 +55,9 @@ def natural_join(df: DataFrame, other: DataFrame, how: str = "inner") -> DataFra
 
 
 def one_to_one(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Inner join that first makes sure that no key repeats on either side."""
+    """Inner join in which a key that repeats on either side is an error, raised while the join is computed."""
     keys = [on] if isinstance(on, str) else list(on)
-    return assert_unique(df, keys).join(assert_unique(other, keys), keys, "inner")
+    return enforce_unique(df, keys).join(enforce_unique(other, keys), keys, "inner")
 
 
 def fold_outer(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -75,8 +94,9 @@ def with_version(df: DataFrame, versions: DataFrame, on_missing: str = "error")
     if on_missing not in UNKNOWN_MODES:
         raise ValueError(f"on_missing must be one of {UNKNOWN_MODES}")
     keys = ["workflow_id", "workflow_major_version", "workflow_minor_version"]
-    unique = assert_unique(versions.select(*keys, "strings"), keys)
-    joined = df.join(lookup_side(unique), keys, "inner" if on_missing == "drop" else "left")
+    unique = enforce_unique(versions.select(*keys, "strings"), keys)
+    how = "inner" if on_missing == "drop" else "left"
+    joined = lookup_join(df, unique, keys, how, spread_by="classification_id")
     if on_missing == "error":
         what = F.concat_ws(".", *keys)
         failed = F.raise_error(F.concat(F.lit("no workflow version "), what)).cast("map<string,string>")
