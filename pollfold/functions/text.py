@@ -20,13 +20,12 @@ def strip_image_markdown(text: Column) -> Column:
 
 def sanitise(text: Column) -> Column:
     """Canonical answer text: outer quotes, then outer spaces removed; lower case; no image tag."""
-    trimmed = F.btrim(F.btrim(text, F.lit("'")), F.lit(" "))
-    return strip_image_markdown(F.lower(trimmed))
+    return strip_image_markdown(F.lower(F.trim(F.btrim(text, F.lit("'")))))
 
 
 def is_blank(text: Column) -> Column:
     """True for values made of spaces only (and for the empty string)."""
-    return F.length(F.btrim(text, F.lit(" "))) == 0
+    return F.length(F.trim(text)) == 0
 
 
 def underscored(text: Column) -> Column:

@@ -28,19 +28,20 @@ def largest(counts: Sequence[Column]) -> Column:
     return present[0] if len(present) == 1 else F.greatest(*present)
 
 
-def arg_max(names: Sequence[str], counts: Sequence[Column]) -> Column:
-    """Name of the largest count; the first listed wins a tie; null counts as 0."""
-    best = largest(counts)
+def arg_max(names: Sequence[str], counts: Sequence[Column], best: Column | None = None) -> Column:
+    """Name of the largest count (``best``, if at hand); the first listed wins a tie; null counts as 0."""
+    best = largest(counts) if best is None else best
     out = F.lit(names[-1])
     for name, n in list(zip(names, counts))[-2::-1]:
         out = F.when(F.coalesce(n, F.lit(0)) == best, F.lit(name)).otherwise(out)
     return out
 
 
-def confidence(counts: Sequence[Column]) -> Column:
-    """Largest count / total; 1 / number of answers when there were no votes."""
+def confidence(counts: Sequence[Column], best: Column | None = None) -> Column:
+    """Largest count (``best``, if at hand) / total; 1 / number of answers when there were no votes."""
+    best = largest(counts) if best is None else best
     present = [F.coalesce(n, F.lit(0)) for n in counts]
-    share = F.try_divide(largest(counts).cast("double"), total(present).cast("double"))
+    share = F.try_divide(best.cast("double"), total(present).cast("double"))
     return F.coalesce(share, F.lit(1.0 / len(counts)))
 
 

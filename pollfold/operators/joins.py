@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pollfold.dictionary import QuestionSet
 from pollfold.functions.columns import c
+from pollfold.functions.text import is_blank
 from pollfold.operators.checks import enforce_unique
 
 UNKNOWN_MODES = ("error", "drop", "keep")
@@ -115,18 +116,25 @@ def with_names(
 ) -> DataFrame:
     """Add published question and answer names by (raw question, raw answer).
 
-    Raw answers repeat across questions, so the pair is the key. An unknown pair raises when it is computed,
-    is dropped, or is kept with null names.
+    Raw answers repeat across questions, so the pair is the key. Rows with a null or blank answer are dropped. Any
+    other unknown pair raises when it is computed, is dropped, or is kept with null names.
+
+    Blank rows are told apart after the join, among the rows that found no name, so that the answer text is
+    cleaned once per row.
     """
     if on_unknown not in UNKNOWN_MODES:
         raise ValueError(f"on_unknown must be one of {UNKNOWN_MODES}")
     names = dictionary.lookup(df.sparkSession).select(
-        F.col("raw_task").alias("__raw_task"), F.col("raw_value").alias("__raw_value"),
-        F.col("task").alias(question), F.col("value").alias(response),
+        F.col("raw_task").alias("__raw_task"),
+        F.col("raw_value").alias("__raw_value"),
+        F.col("task").alias(question),
+        F.col("value").alias(response),
     )
     keyed = df.withColumns({"__task": raw_task, "__value": raw_value})
     matches = (F.col("__task") == F.col("__raw_task")) & (F.col("__value") == F.col("__raw_value"))
     joined = keyed.join(F.broadcast(names), matches, "inner" if on_unknown == "drop" else "left")
+    if on_unknown != "drop":
+        joined = joined.filter(c(response).isNotNull() | ~F.coalesce(is_blank(F.col("__value")), F.lit(True)))
     if on_unknown == "error":
         what = F.concat_ws(" / ", F.col("__task"), F.col("__value"))
         failed = F.raise_error(F.concat(F.lit("not in the dictionary: "), what)).cast("string")

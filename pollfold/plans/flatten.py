@@ -13,7 +13,7 @@ from pollfold.functions.columns import c
 from pollfold.functions.ids import response_id
 from pollfold.functions.text import sanitise
 from pollfold.operators.joins import with_names
-from pollfold.operators.shaping import answered, current_wording, not_blank, since, single_choice, without_tasks
+from pollfold.operators.shaping import answered, current_wording, since, single_choice, without_tasks
 
 PARENT_COLUMNS = (
     "created_at",
@@ -30,8 +30,13 @@ PARENT_COLUMNS = (
 def explode_annotations(
     df: DataFrame, keep: Sequence[str], exclude_tasks: Iterable[str] = (), annotations: str = "annotations"
 ) -> DataFrame:
-    """One row per annotation with its members and the kept parent columns."""
-    rows = df.select(F.explode(c(annotations)).alias("annotation"), *[c(k) for k in keep])
+    """One row per annotation with its members and the kept parent columns.
+
+    An outer explode followed by a null filter: an inner one makes the optimiser add a filter on the size of the list,
+    which computes the list twice when it comes from an expression.
+    """
+    exploded = df.select(F.explode_outer(c(annotations)).alias("annotation"), *[c(k) for k in keep])
+    rows = exploded.filter(F.col("annotation").isNotNull())
     return without_tasks(rows.select("annotation.*", *[c(k) for k in keep]), exclude_tasks)
 
 
@@ -44,10 +49,8 @@ def clean_annotations(
     question: str = "question",
     response: str = "response",
 ) -> DataFrame:
-    """Sanitise the answer text, drop null and blank answers, rename by the dictionary."""
-    cleaned = exploded.withColumn(value, sanitise(c(value)))
-    present = not_blank(answered(cleaned, task, value), value)
-    return with_names(present, dictionary, c(task), c(value), on_unknown, question, response)
+    """Drop rows without answer, then sanitise the answer text and rename by the dictionary."""
+    return with_names(answered(exploded, task, value), dictionary, c(task), sanitise(c(value)), on_unknown, question, response)
 
 
 def flatten(
@@ -72,7 +75,7 @@ def flatten(
     if start is not None:
         df = since(df, start, inclusive=start_inclusive)
     df = df.withColumns({k: c(k).cast("string") for k in keep if k != "created_at"})
-    rows = single_choice(explode_annotations(df, keep, exclude_tasks).dropna("any", subset=["task_id", "value"]))
+    rows = single_choice(answered(explode_annotations(df, keep, exclude_tasks), "task_id"))
     if since_version:
         rows = _currently_worded(rows, dictionary, since_version)
     named = clean_annotations(rows, dictionary, on_unknown, task="task_id")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pollfold.dictionaries import DR5
@@ -91,15 +91,16 @@ def reduce_votes(
 def with_totals(
     counts: DataFrame, dictionary: QuestionSet, keep: Sequence[str], null_fraction: bool = False
 ) -> DataFrame:
-    """Add totals and fractions to a count table, columns in dictionary order, in one projection."""
+    """Add totals and fractions to a count table, columns in dictionary order.
 
-    def whole(q) -> Column:
-        return total([c(n) for n in q.count_columns])
-
-    totals = [whole(q).alias(q.total_votes) for q in dictionary.questions]
+    Two projections: totals become columns before fractions refer to them, which keeps the expressions linear in the
+    number of answers.
+    """
+    totals = [total([c(n) for n in q.count_columns]).alias(q.total_votes) for q in dictionary.questions]
+    counted = counts.select(*[c(k) for k in keep], *[c(n) for n in dictionary.count_columns], *totals)
     shares = [
-        fraction(c(q.count_column(a)), whole(q), null_fraction).alias(q.fraction_column(a))
+        fraction(c(q.count_column(a)), c(q.total_votes), null_fraction).alias(q.fraction_column(a))
         for q in dictionary.questions
         for a in q.answers
     ]
-    return counts.select(*[c(k) for k in keep], *[c(n) for n in dictionary.count_columns], *totals, *shares)
+    return counted.select("*", *shares)

@@ -34,6 +34,7 @@ from pollfold.queries.tables import (
     START,
     annotated_lines,
     coded_lines,
+    dealt,
     event_responses,
     line_responses,
     raw_lines,
@@ -291,7 +292,7 @@ def filter_then_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rare_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.when(F.col("l_linestatus") == "F", F.lit('["Ring","![x](y) Lens or Arc"]')).otherwise(F.lit('["Ring"]'))
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("subject_id"), listed.alias("value"))
+    rows = dealt(table(spark, sf_dir, "lineitem")).select(F.col("l_partkey").alias("subject_id"), listed.alias("value"))
     counts = feature_counts(chosen_features(rows, "subject_id"), "subject_id")
     reduced = reduce_responses(line_responses(spark, sf_dir), FLAGS)
     merged = with_feature_fractions(reduced, counts, "subject_id", "return-flag_total-votes")

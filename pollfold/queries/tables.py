@@ -32,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp") for n in times}) if times else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores if the scan has fewer splits than there are cores.
+
+    The provided tables are single files with one row group, which one task would parse alone. Tables of any size
+    have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_time(ts: Column) -> Column:
     """Times leave queries as text, so that both engines print them alike."""
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
@@ -64,7 +74,7 @@ def line_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(flag.name).alias("question"), answer_name(F.col("l_returnflag"), flag).alias("response")),
         F.struct(F.lit(status.name).alias("question"), answer_name(F.col("l_linestatus"), status).alias("response")),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return dealt(table(spark, sf_dir, "lineitem")).select(
         classification().alias("classification_id"),
         F.col("l_partkey").alias("subject_id"),
         F.col("l_suppkey").alias("user_id"),
@@ -137,7 +147,7 @@ def annotated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         annotation("T1", F.when(line != 6, F.concat(F.lit("'"), F.col("l_linestatus"), F.lit("'"))), False),
         annotation("T10", F.lit('["ring","lens or arc"]'), True),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return dealt(table(spark, sf_dir, "lineitem")).select(
         classification().alias("classification_id"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.lit("1").alias("workflow_id"),
@@ -177,7 +187,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(task).alias("task"), value.alias("value"))
 
     several = F.concat(F.lit("["), flag.cast("string"), F.lit(",3]"))
-    lines = table(spark, sf_dir, "lineitem").withColumn("n_nationkey", F.pmod("l_suppkey", F.lit(25)).cast("int"))
+    lines = dealt(table(spark, sf_dir, "lineitem")).withColumn("n_nationkey", F.pmod("l_suppkey", F.lit(25)).cast("int"))
     return lines.join(nation, "n_nationkey").select(
         classification().alias("id"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
