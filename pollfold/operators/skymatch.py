@@ -4,10 +4,10 @@ Positions become points on the unit sphere. There, nearest by angle is nearest b
 0/360 seam nor the poles need care. Space is cut into cubes with the search radius as edge, so the match lies in
 the galaxy's cube or a touching one, and the search is an equi-join on cubes.
 
-Crowding. A cube with more than ``leaf`` sources is never paired with its galaxies. It is cut into ``_FAN``**3
-smaller cubes, and only those that can still hold the nearest source are kept: the nearest one lies no further than
-the far corner of some occupied cube, so cubes whose near corner is beyond that are out. This repeats, on crowded
-cubes only, until every remaining cube is small; sources at the very same position count once. Results are exact.
+Crowding. A cube with more than ``leaf`` sources is never paired with its galaxies. It is cut into smaller cubes, and
+only occupied ones that can still hold the nearest source are kept: the nearest one lies no further than the far corner of
+some occupied cube, so cubes whose near corner is beyond that are out. This repeats, on crowded cubes only, until
+every remaining cube is small; sources at the very same position count once. Results are exact.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pollfold.functions.columns import c
 from pollfold.sources.storage import cut_lineage
 
-_FAN = 4  # cubes per edge of a crowded cube
+_FAN = 4  # a power of two, so that smaller cubes nest exactly in larger ones
 _AXES = ("x", "y", "z")
 _CUBE = ("cube_x", "cube_y", "cube_z")
 _SLACK = 1e-14  # rounding of unit vectors
@@ -101,10 +101,14 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
         if done:
             break
         # only crowded cubes and their contents go on, cut finer
-        points = cut_lineage(placed.join(crowded, list(_CUBE), "left_semi").drop(*_CUBE))
-        refined = _split(_bounded(reachable, edge).filter("sources is null"))
-        edge = edge / _FAN
-        candidates = cut_lineage(refined.filter(_distance_to_cube(edge, near=True) <= F.col("bound")))
+        points = cut_lineage(placed.join(crowded, list(_CUBE), "left_semi"))
+        finer = edge / _cut(points, edge)
+        children = points.select(*_CUBE, *[col.alias(f"child_{n}") for n, col in _cube_of(finer).items()]).distinct()
+        inside = _bounded(reachable, edge).filter("sources is null").drop("sources").join(children, list(_CUBE))
+        inside = inside.drop(*_CUBE).withColumnsRenamed({f"child_{n}": n for n in _CUBE})
+        edge = finer
+        candidates = cut_lineage(inside.filter(_distance_to_cube(edge, near=True) <= F.col("bound")))
+        points = points.drop(*_CUBE)
     best = found.groupBy("g_ra", "g_dec").agg(F.min("nearest").alias("nearest"))
     return best.select(
         "g_ra",
@@ -140,14 +144,14 @@ def _touching(galaxies: DataFrame, edge: float) -> DataFrame:
     return out.filter(_distance_to_cube(edge, near=True) <= F.col("bound"))
 
 
-def _split(candidates: DataFrame) -> DataFrame:
-    """Each (galaxy, crowded cube) as its smaller cubes."""
-    inner = F.array(*[F.lit(i) for i in range(_FAN)])
-    out = candidates.drop("sources")
-    for a in _AXES:
-        out = out.withColumn("step", F.explode(inner))
-        out = out.withColumn(f"cube_{a}", c(f"cube_{a}") * _FAN + F.col("step")).drop("step")
-    return out
+def _cut(points: DataFrame, edge: float) -> int:
+    """Into how many parts per edge crowded cubes are cut: more when their contents are packed closely."""
+    sides = points.groupBy(*_CUBE).agg(*[(F.max(a) - F.min(a)).alias(a) for a in _AXES])
+    widest = sides.agg(F.max(F.greatest(*_AXES))).first()[0]
+    parts = _FAN
+    while edge / (parts * _FAN) > widest and edge / parts > _FINEST:
+        parts *= _FAN
+    return parts
 
 
 def _distance_to_cube(edge: float, near: bool) -> Column:

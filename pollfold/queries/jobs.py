@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pollfold.dictionaries import EUCLID
 from pollfold.functions.columns import c
 from pollfold.operators.joins import attach, one_to_one
 from pollfold.operators.ranking import by_fraction
@@ -33,6 +34,7 @@ from pollfold.queries.tables import (
     LINE_RESPONSES_SQL,
     START,
     annotated_lines,
+    classification,
     coded_lines,
     dealt,
     event_responses,
@@ -163,6 +165,40 @@ def predict_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(predicted.select("subject_id", *[c(n) for n in names]))
 
 
+# every line answers one of the 47 options of the largest dictionary
+_OPTIONS = [(q.name, a.name) for q in EUCLID.questions for a in q.answers]
+_OPTION_ROWS = ", ".join(f"({i}, '{q}', '{a}')" for i, (q, a) in enumerate(_OPTIONS))
+_WIDE_SQL = f"""WITH options(o, question, response) AS (VALUES {_OPTION_ROWS}), responses AS (
+  SELECT {CLASSIFICATION_SQL} AS classification_id, l_partkey AS subject_id, question, response
+  FROM lineitem JOIN options ON o = (l_orderkey + l_linenumber) % {len(_OPTIONS)})"""
+_EUCLID_ANSWERS = {q.name: q.answer_names for q in EUCLID.questions}
+
+
+def _wide_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = F.array(*[F.struct(F.lit(q).alias("question"), F.lit(a).alias("response")) for q, a in _OPTIONS])
+    chosen = F.get(options, ((F.col("l_orderkey") + F.col("l_linenumber")) % len(_OPTIONS)).cast("int"))
+    rows = dealt(table(spark, sf_dir, "lineitem")).select(
+        classification().alias("classification_id"), F.col("l_partkey").alias("subject_id"), chosen.alias("answer")
+    )
+    return rows.select("classification_id", "subject_id", "answer.*")
+
+
+@query("reduce_survey_dictionary", f"{_WIDE_SQL} {_reduced_sql('subject_id', _EUCLID_ANSWERS)}")
+def reduce_survey_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(reduce_responses(_wide_responses(spark, sf_dir), EUCLID))
+
+
+@query(
+    "predict_survey_dictionary",
+    f"""{_WIDE_SQL}, r AS ({_reduced_sql('subject_id', _EUCLID_ANSWERS)})
+    SELECT subject_id, {", ".join(_tie_sql(a, q) for q, a in _EUCLID_ANSWERS.items())} FROM r""",
+)
+def predict_survey_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    predicted = predict(reduce_responses(_wide_responses(spark, sf_dir), EUCLID), EUCLID, interval=0.8)
+    names = [n for q in EUCLID.questions for n in (q.prediction, q.prediction_conf, q.prediction_encoded)]
+    return rounded(predicted.select("subject_id", *[c(n) for n in names]))
+
+
 @query(
     "predict_intervals",
     f"""WITH {LINE_RESPONSES_SQL}, r AS ({_reduced_sql('subject_id', {'line-status': ['final', 'open']})}),
