@@ -26,10 +26,9 @@ def count_of_counts(df: DataFrame, key: str) -> DataFrame:
     return frequency(df, key, count="occurrences").groupBy("occurrences").agg(F.count(F.lit(1)).alias("keys"))
 
 
-def distinct_count(df: DataFrame, column: str, by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per group (or overall). Exact counts shuffle on (group, value), so hot groups split."""
-    counter = F.approx_count_distinct if approximate else F.count_distinct
-    return df.groupBy(*[c(b) for b in by]).agg(counter(c(column)).alias("n_distinct"))
+def distinct_count(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null values per group (or overall). Rows shuffle on (group, value), so hot groups split."""
+    return df.groupBy(*[c(b) for b in by]).agg(F.count_distinct(c(column)).alias("n_distinct"))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -195,20 +194,14 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
 
 
 def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
-    """Exact quantile with linear interpolation, at any table size.
-
-    No buffer ever holds the column. Each pass counts the values in :data:`HISTOGRAM_STEP` bins of the current range and
-    goes on inside the bin that holds the wanted rank, until that bin has a single value. A pass returns at most
-    one row per bin, and a value that fills much of the table is one bin entry like any other.
-    """
-    value = c(column).cast("double")
-    rows = df.select(value.alias("v")).filter("v is not null and not isnan(v)")
-    whole = rows.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
-    if whole["n"] == 0:
+    """Exact quantile with linear interpolation, at any table size; null when there are no values."""
+    rows = _numbers(df, column)
+    n = rows.count()
+    if n == 0:
         return None
-    place = q * (whole["n"] - 1)
+    place = q * (n - 1)
     rank = math.floor(place)
-    lower = _value_at_rank(rows, rank, whole["low"], whole["high"])
+    lower = value_at_rank(df, column, rank)
     if place == rank:
         return lower
     # the next value in order is the same one again or the smallest larger one
@@ -219,7 +212,16 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     return lower + (upper - lower) * (place - rank)
 
 
-def _value_at_rank(rows: DataFrame, rank: int, low: float, high: float) -> float:
+def value_at_rank(df: DataFrame, column: str, rank: int) -> float:
+    """The value with ``rank`` values before it in ascending order.
+
+    No buffer ever holds the column. Each pass counts the values in :data:`HISTOGRAM_STEP` bins of the current range and
+    goes on inside the bin that holds the wanted rank, until that bin has a single value. A pass returns at most
+    one row per bin, and a value that fills much of the table is one bin entry like any other.
+    """
+    rows = _numbers(df, column)
+    ends = rows.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
+    low, high = ends["low"], ends["high"]
     while low < high:
         inside = rows.filter((F.col("v") >= low) & (F.col("v") <= high))
         bins = inside.groupBy(F.width_bucket("v", F.lit(low), F.lit(high), F.lit(HISTOGRAM_STEP)).alias("bin")).agg(
@@ -231,3 +233,7 @@ def _value_at_rank(rows: DataFrame, rank: int, low: float, high: float) -> float
                 break
             rank -= entry["n"]
     return low
+
+
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    return df.select(c(column).cast("double").alias("v")).filter("v is not null and not isnan(v)")

@@ -90,12 +90,15 @@ def running_count(df: DataFrame, flag: Column, time_col: str = "created_at") ->
         F.sum("rows").over(within).alias("rows_here"),
         F.sum("flagged").over(within).alias("flagged_here"),
     )
-    placed = per_second.join(per_hour, "hour").select(
-        "second",
+    # null-safe joins: plain ones would push different null filters into the three uses of the counted table, which
+    # would then be read three times instead of once
+    hourly = per_hour.withColumnRenamed("hour", "__hour")
+    placed = per_second.join(hourly, F.col("hour").eqNullSafe(F.col("__hour"))).select(
+        F.col("second").alias("__second"),
         (F.col("rows_before_second") + F.col("rows_before_hour")).alias("rows_before"),
         (F.col("flagged_before_second") + F.col("flagged_before_hour")).alias("flagged_before"),
     )
-    return inner.join(placed, "second").select(
+    return inner.join(placed, F.col("second").eqNullSafe(F.col("__second"))).select(
         "time",
         "rows",
         "flagged",

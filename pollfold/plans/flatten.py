@@ -12,9 +12,11 @@ from pollfold.dictionary import QuestionSet
 from pollfold.functions.columns import c
 from pollfold.functions.ids import response_id
 from pollfold.functions.text import sanitise
+from pollfold.operators.aggregates import keep_first
 from pollfold.operators.joins import with_names
 from pollfold.operators.shaping import answered, current_wording, since, single_choice, without_tasks
 
+# Columns of the published response table besides question, response and id (fixed values).
 PARENT_COLUMNS = (
     "created_at",
     "workflow_id",
@@ -100,7 +102,10 @@ def unique_responses(
 ) -> DataFrame:
     """One row per (classification, question, response).
 
-    A classification belongs to one subject and one volunteer, so its repeats are equal in the other columns too.
+    A classification belongs to one subject and one volunteer, so its repeats should be equal in the other columns too. If
+    not, a batch keeps the smallest row (earliest, when the time comes first), a stream any.
     """
-    return responses.dropDuplicates(list(keys))
-
+    rest = [name for name in responses.columns if name not in set(keys)]
+    if responses.isStreaming or not rest:
+        return responses.dropDuplicates(list(keys))
+    return keep_first(responses, keys, rest)

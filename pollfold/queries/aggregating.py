@@ -57,11 +57,6 @@ def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.distinct_values(table(spark, sf_dir, "part"), "p_type")
 
 
-@query("distinct_counts_approximate")
-def distinct_counts_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.distinct_count(table(spark, sf_dir, "lineitem"), "l_partkey", ["l_returnflag"], approximate=True)
-
-
 @query(
     "keep_first_row",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pollfold.functions.columns import c
+from pollfold.operators.aggregates import value_at_rank
 
 # Column names and types of the platform's files (fixed values).
 CLASSIFICATION_EXPORT = (
@@ -27,8 +28,8 @@ API_RECORD = (
     "subject:struct<id:string,locations:array<map<string,string>>,metadata:map<string,string>>>"
 )
 WORKFLOW_VERSION = "major_number string, minor_number string, links struct<workflow:string>, strings map<string,string>"
-CHUNK_PREFIX = "panoptes_api"
 DERIVED_MARK = "derived"
+TOP_K = 100_000  # rows that a top-k may bring together in one task
 FIRST_ID = 159526481  # where an incremental pull starts when nothing was pulled before
 
 
@@ -87,9 +88,14 @@ def read_shards(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.csv(folder, schema=schema, header=False, quote='"', escape='"')
 
 
-def read_chunks(spark: SparkSession, folder: str, derived: bool = False, schema: str = API_RECORD) -> DataFrame:
-    """Records of the chunk files of a folder (raw or derived ones), with their ``file_name``."""
-    chunks = spark.read.schema(schema).option("pathGlobFilter", f"{CHUNK_PREFIX}*").json(folder)
+def read_chunks(
+    spark: SparkSession, folder: str, prefix: str, derived: bool = False, schema: str = API_RECORD
+) -> DataFrame:
+    """Records of the chunk files of a folder (raw or derived ones), with their ``file_name``.
+
+    Chunk files share a name prefix; derived ones have ``derived`` in their name.
+    """
+    chunks = spark.read.schema(schema).option("pathGlobFilter", f"{prefix}*").json(folder)
     named = chunks.select("*", F.col("_metadata.file_name").alias("file_name"))
     is_derived = F.contains("file_name", F.lit(DERIVED_MARK))
     return named.filter(is_derived if derived else ~is_derived)
@@ -107,10 +113,21 @@ def last_id(records: DataFrame, id_col: str = "id", default: int = FIRST_ID) ->
 
 
 def next_records(records: DataFrame, after: int, max_records: int | None = None, id_col: str = "id") -> DataFrame:
-    """Records above a cursor; with ``max_records``, the lowest ids of them."""
+    """Records above a cursor; with ``max_records``, those with the lowest ids.
+
+    Small limits are a top-k. For larger ones the id of the last record is found first, so that no task has to hold them
+    all; records that share that id all come along.
+    """
     ids = c(id_col).cast("bigint")
     newer = records.filter(ids > F.lit(after))
-    return newer if max_records is None else newer.orderBy(ids).limit(max_records)
+    if max_records is None:
+        return newer
+    if max_records <= TOP_K:
+        return newer.orderBy(ids).limit(max_records)
+    numbered = newer.select(ids.alias("id"))
+    if numbered.count() <= max_records:
+        return newer
+    return newer.filter(ids <= F.lit(int(value_at_rank(numbered, "id", max_records - 1))))
 
 
 def read_workflow_versions(spark: SparkSession, path: str, expected: int | None = None) -> DataFrame:

@@ -12,20 +12,23 @@ def chunk(path, first, last):
     path.write_text("\n".join(json.dumps({"id": str(i)}) for i in range(first, last + 1)))
 
 
-def test_chunk_files_and_cursor(spark, tmp_path):
-    chunk(tmp_path / "panoptes_api_first.txt", 25810000, 25810020)
-    chunk(tmp_path / "panoptes_api_second.txt", 25810021, 25810095)
-    chunk(tmp_path / "panoptes_api_derived_first.txt", 1, 3)
+def test_chunk_files_and_cursor(spark, tmp_path, monkeypatch):
+    chunk(tmp_path / "api_chunk_first.txt", 25810000, 25810020)
+    chunk(tmp_path / "api_chunk_second.txt", 25810021, 25810095)
+    chunk(tmp_path / "api_chunk_derived_first.txt", 1, 3)
     chunk(tmp_path / "other.txt", 99999999, 99999999)
-    raw = readers.read_chunks(spark, str(tmp_path))
+    raw = readers.read_chunks(spark, str(tmp_path), "api_chunk")
     assert rows_of(readers.chunk_ids(raw), "first_id", "last_id") == [(25810000, 25810020), (25810021, 25810095)]
     assert readers.last_id(raw).first()[0] == 25810095
-    derived = readers.read_chunks(spark, str(tmp_path), derived=True)
+    derived = readers.read_chunks(spark, str(tmp_path), "api_chunk", derived=True)
     assert readers.last_id(derived).first()[0] == 3
     assert readers.last_id(raw.filter("false")).first()[0] == readers.FIRST_ID
     following = readers.next_records(raw, 25810090, 3)
     assert rows_of(following, "id") == [("25810091",), ("25810092",), ("25810093",)]
     assert readers.next_records(raw, 25810090).count() == 5
+    monkeypatch.setattr(readers, "TOP_K", 2)
+    assert rows_of(readers.next_records(raw, 25810090, 3)) == rows_of(following)
+    assert readers.next_records(raw, 25810090, 10**10).count() == 5
 
 
 def test_announced_version_count(spark):
