@@ -11,8 +11,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # answers per 64-bit vote mask; the sign bit stays free
 MASK_BITS = 60
@@ -165,7 +164,7 @@ class QuestionSet:
         arrays = [pa.array(col, t) for col, t in zip(zip(*rows), types)]
         return spark.createDataFrame(pa.table(arrays, names=list(names)))
 
-    def bit_column(self, column: str, words: list[str]) -> Column:
-        """0/1 value of a count column, read from the mask word columns."""
+    def bit_sql(self, column: str, words: list[str]) -> str:
+        """SQL for the 0/1 value of a count column, read from the mask word columns."""
         word, bit = self.mask_bit(column)
-        return F.shiftrightunsigned(F.col(words[word]), bit).bitwiseAND(F.lit(1))
+        return f"(shiftrightunsigned({words[word]}, {bit}) & 1)"

@@ -6,9 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """Name for use in SQL text; hyphens and dots in it are taken literally."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def c(name: str) -> Column:
-    """Column by exact name; hyphens and dots in the name are taken literally."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(quoted(name))
 
 
 def question_answer(question: str = "question", response: str = "response") -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pollfold.functions.columns import c
 from pollfold.functions.text import sanitise, underscored
+from pollfold.functions.votes import fraction
 from pollfold.operators.aggregates import distinct_values
 
 
@@ -44,7 +45,7 @@ def with_feature_fractions(
     """
     joined = reduced.join(counts, key, "inner")
     fractions = {
-        f"{name}_fraction": F.try_divide(c(name).cast("double"), c(total).cast("double"))
+        f"{name}_fraction": fraction(c(name), c(total), null_when_empty=True)
         for name in counts.columns
         if name != key
     }

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from pollfold.dictionaries import DR5
 from pollfold.dictionary import QuestionSet
-from pollfold.functions.columns import c
-from pollfold.functions.votes import fraction, total
+from pollfold.functions.columns import c, quoted
 from pollfold.operators.joins import remove_people
 
 
@@ -68,7 +67,7 @@ def reduce_responses(
     paths = masks.groupBy(c(key), *words).agg(F.count(F.lit(1)).alias("__n"))
     by_subject = paths.repartition(c(key))
     counts = by_subject.groupBy(c(key)).agg(
-        *[F.sum(F.col("__n") * dictionary.bit_column(name, words)).alias(name) for name in dictionary.count_columns]
+        *[F.expr(f"sum(__n * {dictionary.bit_sql(name, words)}) AS {quoted(name)}") for name in dictionary.count_columns]
     )
     return with_totals(counts, dictionary, [key], null_fraction)
 
@@ -81,10 +80,10 @@ def reduce_votes(
     Equal vote rows are counted per subject first, so that the sums by subject see one row per distinct row.
     """
     names = dictionary.count_columns
-    clean = votes.filter(c(key).isNotNull()).select(c(key), *[F.coalesce(c(n), F.lit(0)).cast("bigint").alias(n) for n in names])
-    packed = clean.select(c(key), F.array(*[c(n) for n in names]).alias("__votes"))
+    listed = ", ".join(f"CAST(coalesce({quoted(n)}, 0) AS BIGINT)" for n in names)
+    packed = votes.filter(c(key).isNotNull()).select(c(key), F.expr(f"array({listed}) AS __votes"))
     rows = packed.groupBy(c(key), "__votes").agg(F.count(F.lit(1)).alias("__n")).repartition(c(key))
-    counts = rows.groupBy(c(key)).agg(*[F.sum(F.col("__n") * F.col("__votes")[i]).alias(n) for i, n in enumerate(names)])
+    counts = rows.groupBy(c(key)).agg(*[F.expr(f"sum(__n * __votes[{i}]) AS {quoted(n)}") for i, n in enumerate(names)])
     return with_totals(counts, dictionary, [key], null_fraction)
 
 
@@ -94,13 +93,15 @@ def with_totals(
     """Add totals and fractions to a count table, columns in dictionary order.
 
     Two projections: totals become columns before fractions refer to them, which keeps the expressions linear in the
-    number of answers.
+    number of answers. They are written as SQL text, one driver call per column instead of one per term.
     """
-    totals = [total([c(n) for n in q.count_columns]).alias(q.total_votes) for q in dictionary.questions]
-    counted = counts.select(*[c(k) for k in keep], *[c(n) for n in dictionary.count_columns], *totals)
+    totals = [f"{' + '.join(quoted(n) for n in q.count_columns)} AS {quoted(q.total_votes)}" for q in dictionary.questions]
+    counted = counts.selectExpr(*[quoted(k) for k in keep], *[quoted(n) for n in dictionary.count_columns], *totals)
+    empty = "NULL" if null_fraction else "0D"
     shares = [
-        fraction(c(q.count_column(a)), c(q.total_votes), null_fraction).alias(q.fraction_column(a))
+        f"coalesce(try_divide(CAST({quoted(q.count_column(a))} AS DOUBLE), CAST({quoted(q.total_votes)} AS DOUBLE)), {empty})"
+        f" AS {quoted(q.fraction_column(a))}"
         for q in dictionary.questions
         for a in q.answers
     ]
-    return counted.select("*", *shares)
+    return counted.selectExpr("*", *shares)

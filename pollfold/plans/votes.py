@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pollfold.dictionaries import DR2, UKIDSS
 from pollfold.dictionary import QuestionSet
-from pollfold.functions.columns import c
+from pollfold.functions.columns import c, quoted
 from pollfold.functions.votes import one_hot
 from pollfold.operators.checks import assert_same_vocabulary
 from pollfold.operators.sets import stack
@@ -38,8 +38,8 @@ def responses_to_votes(
         df = df.withColumn("created_at", F.to_timestamp("created_at"))
     masks = classification_masks(df, dictionary, keys, question, response)
     words = [f"mask_{w}" for w in range(dictionary.mask_words)]
-    bits = [dictionary.bit_column(name, words).cast("int").alias(name) for name in dictionary.count_columns]
-    return masks.select(*[c(k) for k in keys], *bits)
+    bits = [f"CAST({dictionary.bit_sql(n, words)} AS INT) AS {quoted(n)}" for n in dictionary.count_columns]
+    return masks.selectExpr(*[quoted(k) for k in keys], *bits)
 
 
 def remove_rare_answers(
