@@ -133,10 +133,12 @@ def with_names(
     keyed = df.withColumns({"__task": raw_task, "__value": raw_value})
     matches = (F.col("__task") == F.col("__raw_task")) & (F.col("__value") == F.col("__raw_value"))
     joined = keyed.join(F.broadcast(names), matches, "inner" if on_unknown == "drop" else "left")
+    blank = F.coalesce(is_blank(F.col("__value")), F.lit(True))
     if on_unknown != "drop":
-        joined = joined.filter(c(response).isNotNull() | ~F.coalesce(is_blank(F.col("__value")), F.lit(True)))
+        joined = joined.filter(c(response).isNotNull() | ~blank)
     if on_unknown == "error":
         what = F.concat_ws(" / ", F.col("__task"), F.col("__value"))
         failed = F.raise_error(F.concat(F.lit("not in the dictionary: "), what)).cast("string")
-        joined = joined.withColumn(response, F.coalesce(c(response), failed))
+        # only for rows that the filter keeps, in whatever order the optimiser evaluates the two
+        joined = joined.withColumn(response, F.when(c(response).isNotNull(), c(response)).when(~blank, failed))
     return joined.drop("__task", "__value", "__raw_task", "__raw_value")
