@@ -11,6 +11,7 @@ from pollfold.functions.columns import c
 from pollfold.functions.text import sanitise, underscored
 from pollfold.functions.votes import fraction
 from pollfold.operators.aggregates import distinct_values
+from pollfold.sources.storage import cut_lineage
 
 
 def chosen_features(rows: DataFrame, key: str, value: str = "value", is_json: bool = True) -> DataFrame:
@@ -23,17 +24,19 @@ def chosen_features(rows: DataFrame, key: str, value: str = "value", is_json: bo
 def feature_counts(chosen: DataFrame, key: str, features: Sequence[str] | None = None) -> DataFrame:
     """One row per subject with a count column per feature, 0 when absent.
 
-    Without a list, the features that occur are looked up first (one job over distinct labels). Counting per (subject,
-    feature) comes before the rows go by subject, so neither a hot subject nor a hot feature lands in one task.
+    Counting per (subject, feature) comes before the rows go by subject, so neither a hot subject nor a hot feature lands
+    in one task. Without a list, the features that occur are looked up in these counts, which are checkpointed, so
+    that the answers are parsed only once.
     """
-    if features is None:
-        features = sorted(row["feature"] for row in distinct_values(chosen, "feature").collect())
     present = chosen.filter(c(key).isNotNull() & F.col("feature").isNotNull())
-    counted = present.groupBy(c(key), "feature").agg(F.count(F.lit(1)).alias("__n")).repartition(c(key))
+    counted = present.groupBy(c(key), "feature").agg(F.count(F.lit(1)).alias("__n"))
+    if features is None:
+        counted = cut_lineage(counted)
+        features = sorted(row["feature"] for row in distinct_values(counted, "feature").collect())
     columns = [
         F.coalesce(F.sum(F.when(F.col("feature") == f, F.col("__n"))), F.lit(0).cast("bigint")).alias(f) for f in features
     ]
-    return counted.groupBy(c(key)).agg(*columns)
+    return counted.repartition(c(key)).groupBy(c(key)).agg(*columns)
 
 
 def with_feature_fractions(
