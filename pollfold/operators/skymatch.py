@@ -96,6 +96,9 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
             small = placed.join(crowded, list(_CUBE), "left_anti").groupBy(*_CUBE).agg(_listed(False))
             cubes = small.unionByName(crowded, allowMissingColumns=True)
         reachable = candidates.join(cubes, list(_CUBE))
+        if found is not None:
+            # inside a crowd many cubes are near: keep those that can still win
+            reachable = _bounded(reachable, edge).filter(_distance_to_cube(edge, near=True) <= F.col("bound"))
         closest = _closest(reachable)
         found = closest if found is None else found.unionByName(closest)
         if done:
@@ -110,13 +113,9 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
         candidates = cut_lineage(inside.filter(_distance_to_cube(edge, near=True) <= F.col("bound")))
         points = points.drop(*_CUBE)
     best = found.groupBy("g_ra", "g_dec").agg(F.min("nearest").alias("nearest"))
-    return best.select(
-        "g_ra",
-        "g_dec",
-        F.col("nearest.c_ra").alias("c_ra"),
-        F.col("nearest.c_dec").alias("c_dec"),
-        F.col("nearest.sky_separation").alias("sky_separation"),
-    ).filter(F.col("sky_separation") <= max_sep_deg)
+    pairs = best.select("g_ra", "g_dec", F.col("nearest.c_ra").alias("c_ra"), F.col("nearest.c_dec").alias("c_dec"))
+    away = separation_deg(F.col("g_ra"), F.col("g_dec"), F.col("c_ra"), F.col("c_dec"))
+    return pairs.withColumn("sky_separation", away).filter(F.col("sky_separation") <= max_sep_deg)
 
 
 def _on_sphere(df: DataFrame, ra: str, dec: str) -> DataFrame:
@@ -130,7 +129,7 @@ def _cube_of(edge: float) -> dict[str, Column]:
 
 def _listed(inseparable: bool) -> Column:
     """Aggregate: the sources of a cube. Callers make sure that they are few, or ask for one to stand for all."""
-    source = F.struct("c_ra", "c_dec")
+    source = F.struct("c_ra", "c_dec", *_AXES)
     return (F.array(F.min(source)) if inseparable else F.collect_list(source)).alias("sources")
 
 
@@ -179,8 +178,10 @@ def _closest(reachable: DataFrame) -> DataFrame:
     """Per galaxy the closest source among the listed ones."""
 
     def candidate(s: Column) -> Column:
-        away = separation_deg(F.col("g_ra"), F.col("g_dec"), s["c_ra"], s["c_dec"])
-        return F.struct(away.alias("sky_separation"), s["c_ra"].alias("c_ra"), s["c_dec"].alias("c_dec"))
+        # squared straight-line distance: orders like the angle, without trigonometry per pair
+        gaps = [F.col(a) - s[a] for a in _AXES]
+        squared = gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
+        return F.struct(squared.alias("squared"), s["c_ra"].alias("c_ra"), s["c_dec"].alias("c_dec"))
 
     per_cube = F.array_min(F.transform("sources", candidate)).alias("nearest")
     listed = reachable.filter("sources is not null").select("g_ra", "g_dec", per_cube)
