@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pollfold.sources.storage import scratch_path
 
@@ -61,3 +62,25 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def add_columns(docs: DataFrame, found: dict[str, str], rows_of) -> tuple[DataFrame, dict[str, Column]]:
+    """All columns of ``docs`` and those of ``rows_of(batch)`` (a list of arrays), under names that no column has.
+
+    ``found`` maps the names of the results to their types; returned with the frame are their columns by these names.
+    """
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    schema = T.StructType(docs.schema.fields + [T.StructField(prefix + n, T.DataType.fromDDL(t)) for n, t in found.items()])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *rows_of(batch)], names)
+
+    return docs.mapInArrow(run, schema), {n: F.col(prefix + n) for n in found}
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]

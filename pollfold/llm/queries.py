@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollfold.llm import mixing, secrets, url_filter
+from pollfold.llm import decontamination, language, mixing, quality, secrets, url_filter
 from pollfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,25 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op4_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits", "accepted")
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.apply_rules(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 # fixed values: the rules of the URL query
 URL_RULES = [
     ("com", "/", "allow"),

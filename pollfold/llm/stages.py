@@ -3,8 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pollfold.llm import mixing
+from pollfold.llm import decontamination, mixing, quality
+from pollfold.llm.common import columns_of, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a rule, or that the classifier rejects, go."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    rows, found = quality.judge(docs, model)
+    return rows.where(found["kept"]).select(columns_of(docs))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    rows, items = decontamination.matched(docs, table(spark, sf_dir, "benchmark"))
+    return rows.where(F.size(items) == 0).select(columns_of(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,4 +27,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("mixing", mix_sources)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mixing_sources", mix_sources),
+]
