@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollfold.llm import decontamination, language, mixing, quality, secrets, url_filter
+from pollfold.llm import decontamination, language, mixing, near_dedup, quality, secrets, url_filter
 from pollfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,32 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# sets of five-word runs, links by shared runs, components by reachability
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN sizes nx ON nx.doc_id = x.doc_id JOIN sizes ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 85 * (nx.n + ny.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@query("op2_near_dedup", NEAR_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op4_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
