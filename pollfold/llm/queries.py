@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollfold.llm import decontamination, language, mixing, near_dedup, quality, secrets, url_filter
+from pollfold.llm import decontamination, language, line_dedup, mixing, near_dedup, quality, secrets, suffix_array, suffix_trees, url_filter
 from pollfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,38 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# words in order of their number of lines; similar lines share one of the first
+LINE_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS words FROM (
+    SELECT doc_id, string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS ls
+    FROM documents)),
+t AS (SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all(words, '[^\x20\x09-\x0D]+'))) AS ts FROM l),
+o AS (SELECT * FROM t WHERE len(ts) > 0),
+s AS (SELECT ts, row_number() OVER () AS k, min((doc_id, line)) AS first FROM o GROUP BY ts),
+e AS (SELECT k, len(ts) AS n, unnest(ts) AS w FROM s),
+f AS (SELECT w, count(*) AS df FROM e GROUP BY w),
+r AS (SELECT k, n, w, row_number() OVER (PARTITION BY k ORDER BY df, w) AS place FROM e JOIN f USING (w)),
+p AS (SELECT k, w FROM r WHERE place <= n - ceil(0.8 * n) + 1),
+c AS (SELECT DISTINCT x.k AS a, y.k AS b FROM p x JOIN p y ON x.w = y.w AND x.k <> y.k),
+late AS (
+  SELECT DISTINCT b AS k FROM c JOIN s x ON x.k = a JOIN s y ON y.k = b WHERE x.first < y.first
+    AND 100 * len(list_intersect(x.ts, y.ts)) >= 80 * (len(x.ts) + len(y.ts) - len(list_intersect(x.ts, y.ts)))),
+judged AS (
+  SELECT doc_id, line, (doc_id, line) > first OR s.k IN (SELECT k FROM late) AS gone FROM o JOIN s USING (ts)),
+per AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (gone) AS removed
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents LEFT JOIN per USING (doc_id)
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 # sets of five-word runs, links by shared runs, components by reachability
 NEAR_SQL = r"""
 WITH RECURSIVE w AS (
@@ -50,6 +82,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op3_suffix_array")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.suffix_array_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("n", "n_bytes")
+
+
 @query("op4_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -119,6 +156,28 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WINDOW_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM w WHERE len(ws) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS d FROM win),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY d) AS m FROM h) WHERE m < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit),
+per AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(len(g), 0) AS n_removed,
+    array_to_string(CASE WHEN g IS NULL THEN ws ELSE ws[:0] || list_transform(
+      list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(g, i)), lambda i: ws[i]) END, ' ') AS rest
+  FROM w LEFT JOIN per USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM kept
+"""
+
+
+@query("op9_suffix_trees", WINDOW_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_trees.substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256")
+
+
 @query("op10_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

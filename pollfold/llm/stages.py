@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollfold.llm import decontamination, mixing, quality
+from pollfold.llm import decontamination, line_dedup, mixing, near_dedup, quality
 from pollfold.llm.common import columns_of, table
 
 
@@ -16,6 +16,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rows.where(found["kept"]).select(columns_of(docs))
 
 
+def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are similar to an earlier line go; documents without any line left go."""
+    return line_dedup.without_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_dedup.without_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     rows, items = decontamination.matched(docs, table(spark, sf_dir, "benchmark"))
@@ -29,6 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_duplicates),
+    ("near_dedup", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("mixing_sources", mix_sources),
 ]
