@@ -16,7 +16,7 @@ BROADCAST_SETS = 1_000_000
 def tokens_of(line: Column) -> Column:
     """Hashes of the distinct words of a line, A-Z lower-cased, in the order of the hashes."""
     found = F.filter(F.split(ascii_lower(line), GAP), lambda w: w != "")
-    return F.array_sort(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w))))
+    return F.sort_array(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w))))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
         F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"),
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "words"),
     )
-    rows = rows.select("doc_id", "id", "digest", "line", tokens_of(F.col("words")).alias("tokens")).where(F.size("tokens") > 0)
+    # as the one row of a generator the tokens are made once, not again in every expression that uses them
+    once = F.explode(F.array(tokens_of(F.col("words")))).alias("tokens")
+    rows = rows.select("doc_id", "id", "digest", "line", once).where(F.size("tokens") > 0)
     return rows.withColumns({"set_id": F.xxhash64("tokens"), "set_check": F.xxhash64(F.lit(1), "tokens")})
 
 
@@ -57,17 +59,17 @@ def prefixes(lines: DataFrame, percent: int) -> DataFrame:
     """
     # the one row of the fixed-size table beside every line
     lines = lines.select("set_id", "tokens", F.lit(1).alias("one")).join(F.broadcast(rarities(lines).withColumn("one", F.lit(1))), "one")
-    ranked = F.array_sort(
-        F.transform("tokens", lambda t: F.struct(F.element_at("rarities", rarity_bin(t) + 1).alias("n"), t.alias("t")))
-    )
+    # count and part of the token's hash in one number: sorts by rarity, equal for equal tokens
+    rank = lambda t: F.shiftleft(F.element_at("rarities", rarity_bin(t) + 1).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
+    ranked = F.sort_array(F.transform("tokens", rank))
     n = F.size("tokens")
     least = F.ceil(percent * n / F.lit(100)).cast("int")
     zero = F.lit(0).cast("long")
     powers = F.array(*[F.lit((1 << k) - (1 << 64) * (k == 63)).cast("long") for k in range(64)])
     bits = F.aggregate("tokens", zero, lambda acc, t: acc.bitwiseOR(F.element_at(powers, F.pmod(t, F.lit(64)).cast("int") + 1)))
     chosen = lines.select("set_id", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix"))
-    listed = chosen.select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "entry"))
-    rows = listed.select(F.col("entry.t").alias("token"), "set_id", "size", "place", "bits")
+    listed = chosen.select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
+    rows = listed.select("token", "set_id", "size", "place", "bits")
     # repeated lines are one row from here on, put together before the shuffle
     return rows.groupBy("token", "set_id", "size", "place", "bits").agg(F.lit(1).alias("one")).drop("one")
 
