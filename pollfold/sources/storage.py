@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh local one only where the session names none."""
+    """The folder named by ``spark.checkpoint.dir``; where the session names none, a fresh local one in local mode, else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
