@@ -25,10 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows written to the shared folder and read from there: lineage ends, lost executors cost nothing."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

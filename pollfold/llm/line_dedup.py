@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import GAP, NO_ID, ascii_lower, columns_of, saved
+from pollfold.llm.common import NO_ID, ascii_lower, columns_of, saved
 
 PERCENT = 80
 # tokens are counted in this many hashed bins, a table of fixed size that every task can hold
 RARITY_BINS = 1 << 20
+# levels of rarity to a doubling of the count; a level is below 128 for any count below 2**31
+LEVELS = 4
 BROADCAST_SETS = 1_000_000
+# a text has few different words, so their hashes are short numbers in a dictionary of this size
+WORD_PAGES = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
+OTHER_SPACES = "\t\x0b\x0c\r"
+
+
+def plain(text: Column) -> Column:
+    """A-Z lower-cased and every space that ends a word, but for line feeds, made a blank."""
+    # the general lower() is the faster one, and the same for ASCII
+    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(ascii_lower(text))
+    spaced = reduce(or_, [F.contains(text, F.lit(s)) for s in OTHER_SPACES])
+    return F.when(spaced, F.translate(lowered, OTHER_SPACES, " " * len(OTHER_SPACES))).otherwise(lowered)
 
 
 def tokens_of(line: Column) -> Column:
-    """Hashes of the distinct words of a line, A-Z lower-cased, in the order of the hashes."""
-    found = F.filter(F.split(ascii_lower(line), GAP), lambda w: w != "")
+    """Hashes of the distinct words of a plain line, in the order of the hashes."""
+    found = F.filter(F.split(line, " "), lambda w: w != "")
     return F.sort_array(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w))))
 
 
@@ -25,7 +41,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
         F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "words"),
+        F.posexplode(F.split(plain(F.coalesce("text", F.lit(""))), "\n", -1)).alias("line", "words"),
     )
     # as the one row of a generator the tokens are made once, not again in every expression that uses them
     once = F.explode(F.array(tokens_of(F.col("words")))).alias("tokens")
@@ -37,13 +53,15 @@ def rarity_bin(token: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(2), token), F.lit(RARITY_BINS)).cast("int")
 
 
-def rarities(lines: DataFrame) -> DataFrame:
-    """One row with the array of token counts by bin."""
+def rarities(lines: DataFrame) -> bytes:
+    """The level of the token count of every bin, a byte each: on a scale of logarithms, of the same size for any table."""
     counted = lines.select(F.explode("tokens").alias("t")).groupBy(rarity_bin(F.col("t")).alias("bin")).agg(F.count("*").alias("n"))
-    every = lines.sparkSession.range(RARITY_BINS).select(F.col("id").cast("int").alias("bin"), F.lit(0).cast("long").alias("n"))
-    whole = counted.union(every).groupBy("bin").agg(F.sum("n").alias("n"))
-    order = F.array_sort(F.collect_list(F.struct("bin", "n")))
-    return saved(whole.agg(F.transform(order, lambda x: F.least(x["n"], F.lit(2**31 - 1)).cast("int")).alias("rarities")), "line-rarities")
+    level = F.least(F.floor(F.log2(F.col("n")) * LEVELS) + 1, F.lit(127)).cast("int")
+    levels = bytearray(RARITY_BINS)
+    for found, at in counted.select("bin", level.alias("level")).groupBy("level").agg(F.collect_list("bin")).toLocalIterator():
+        for bin_ in at:
+            levels[bin_] = found
+    return bytes(levels)
 
 
 def overlap_needed(a: Column, b: Column, percent: int) -> Column:
@@ -57,18 +75,21 @@ def prefixes(lines: DataFrame, percent: int) -> DataFrame:
     A set of n tokens has at least ceil(percent * n / 100) in common with a similar one, so one of its first
     n - that + 1 in any common order. ``bits`` has one of 64 bits set for every token.
     """
-    # the one row of the fixed-size table beside every line
-    lines = lines.select("set_id", "tokens", F.lit(1).alias("one")).join(F.broadcast(rarities(lines).withColumn("one", F.lit(1))), "one")
-    # count and part of the token's hash in one number: sorts by rarity, equal for equal tokens
-    rank = lambda t: F.shiftleft(F.element_at("rarities", rarity_bin(t) + 1).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
+    # a constant of the plan, so that no row has to carry it
+    levels = F.lit(rarities(lines))
+    level = lambda t: F.ascii(F.substring(levels, rarity_bin(t) + 1, F.lit(1)).cast("string"))
+    # level and part of the token's hash in one number: sorts by rarity, equal for equal tokens
+    rank = lambda t: F.shiftleft(level(t).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
     ranked = F.sort_array(F.transform("tokens", rank))
     n = F.size("tokens")
     least = F.ceil(percent * n / F.lit(100)).cast("int")
-    zero = F.lit(0).cast("long")
-    powers = F.array(*[F.lit((1 << k) - (1 << 64) * (k == 63)).cast("long") for k in range(64)])
-    bits = F.aggregate("tokens", zero, lambda acc, t: acc.bitwiseOR(F.element_at(powers, F.pmod(t, F.lit(64)).cast("int") + 1)))
+    one = F.lit(1).cast("long")
+    bit = lambda t: F.call_function("shiftleft", one, F.pmod(t, F.lit(64)).cast("int"))
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
     chosen = lines.select("set_id", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix"))
     listed = chosen.select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
+    # a token that is alone in its bin has nothing to meet
+    listed = listed.where(F.shiftright("token", 32) > 1)
     rows = listed.select("token", "set_id", "size", "place", "bits")
     # repeated lines are one row from here on, put together before the shuffle
     return rows.groupBy("token", "set_id", "size", "place", "bits").agg(F.lit(1).alias("one")).drop("one")
@@ -108,8 +129,8 @@ def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, id, digest, n_lines, removed) of every different document with words: ``removed`` numbers its lines from 0."""
-    lines = lines_of(docs.select("doc_id", "text"))
-    light = saved(lines.select("doc_id", "id", "digest", "line", "set_id", "set_check"), "lines")
+    lines = saved(lines_of(docs.select("doc_id", "text")), "lines", **WORD_PAGES)
+    light = lines.select("doc_id", "id", "digest", "line", "set_id", "set_check")
     firsts = light.groupBy("set_id", "set_check").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n"))
     late = similar_sets(lines, percent).withColumn("late", F.lit(True))
     verdicts = firsts.join(saved(late, "line-late"), ["set_id", "set_check"], "left").where("n > 1 OR late")
