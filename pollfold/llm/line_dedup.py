@@ -87,12 +87,10 @@ def prefixes(lines: DataFrame, percent: int) -> DataFrame:
     bit = lambda t: F.call_function("shiftleft", one, F.pmod(t, F.lit(64)).cast("int"))
     bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
     chosen = lines.select("set_id", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix"))
-    listed = chosen.select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
+    # repeated lines are one row from here on, put together before the shuffle and before their tokens are rows
+    listed = chosen.dropDuplicates(["set_id"]).select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
     # a token that is alone in its bin has nothing to meet
-    listed = listed.where(F.shiftright("token", 32) > 1)
-    rows = listed.select("token", "set_id", "size", "place", "bits")
-    # repeated lines are one row from here on, put together before the shuffle
-    return rows.groupBy("token", "set_id", "size", "place", "bits").agg(F.lit(1).alias("one")).drop("one")
+    return listed.where(F.shiftright("token", 32) > 1)
 
 
 def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
@@ -117,7 +115,7 @@ def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
         wanted = F.broadcast(wanted)
     first = F.min(F.struct("id", "line")).alias("first")
     sets = lines.join(wanted, "set_id", "left_semi").groupBy("set_id", "set_check").agg(first, F.min("tokens").alias("tokens"))
-    sets = saved(sets, "line-sets")
+    sets = saved(sets, "line-sets", **WORD_PAGES)
     side = lambda x: sets.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("set_check", "first", "tokens")])
     full = pairs.join(side("a"), "a").join(side("b"), "b")
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
