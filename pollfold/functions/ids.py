@@ -23,11 +23,11 @@ def adler32(text: Column) -> Column:
     return checksum(text)
 
 
-def response_id(classification: Column, question: Column, response: Column, kind: str = "adler32") -> Column:
+def response_id(classification: Column, question: Column, response: Column, kind: str = "xxhash64") -> Column:
     """Id of one answer of one classification, as text.
 
-    ``adler32`` gives the ids of existing published tables; being a 32-bit sum without separators it
-    collides on large tables. ``xxhash64`` is the wide, purely native alternative for new tables.
+    ``xxhash64`` is wide and native. ``adler32`` gives the ids of existing published tables; being a 32-bit sum without
+    separators it collides on large tables.
     """
     if kind == "xxhash64":
         return F.xxhash64(classification, question, response).cast("string")

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, IntegralType
 
 from pollfold.functions.columns import c
 from pollfold.functions.times import bucket_start, month_key, week_key
 from pollfold.functions.votes import share
+from pollfold.sources.storage import cut_lineage
 
-HISTOGRAM_STEP = 1024
+HISTOGRAM_STEP = 1 << 14
 
 
 def frequency(df: DataFrame, column: str, with_nulls: bool = False, count: str = "n") -> DataFrame:
@@ -193,47 +197,92 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
     return edges.join(counted, "bin", "left").na.fill(0, subset=["n"])
 
 
-def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
-    """Exact quantile with linear interpolation, at any table size; null when there are no values."""
-    rows = _numbers(df, column)
+def exact_quantile(df: DataFrame, column: str, q: float) -> int | float | Decimal | None:
+    """Exact quantile with linear interpolation, at any table size; null when there are no values.
+
+    A value of the column keeps its type, so whole numbers stay exact; one between two values is a float.
+    """
+    rows = cut_lineage(_numbers(df, column))
     n = rows.count()
     if n == 0:
         return None
     place = q * (n - 1)
     rank = math.floor(place)
-    lower = value_at_rank(df, column, rank)
+    lower = _at_rank(rows, rank)
     if place == rank:
         return lower
     # the next value in order is the same one again or the smallest larger one
     after = rows.agg(
-        F.count_if(F.col("v") <= lower).alias("n"), F.min(F.when(F.col("v") > lower, F.col("v"))).alias("next")
+        F.count_if(F.col("v") <= F.lit(lower)).alias("n"), F.min(F.when(F.col("v") > F.lit(lower), F.col("v"))).alias("next")
     ).first()
     upper = lower if after["n"] > rank + 1 else after["next"]
-    return lower + (upper - lower) * (place - rank)
+    if upper == lower:
+        return lower
+    if isinstance(lower, float):
+        return lower + (upper - lower) * (place - rank)
+    return float(Fraction(lower) + (Fraction(upper) - Fraction(lower)) * Fraction(place - rank))
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int) -> float:
-    """The value with ``rank`` values before it in ascending order.
+def value_at_rank(df: DataFrame, column: str, rank: int) -> int | float | Decimal:
+    """The value with ``rank`` values before it in ascending order; nulls and NaN don't count.
 
     No buffer ever holds the column. Each pass counts the values in :data:`HISTOGRAM_STEP` bins of the current range and
     goes on inside the bin that holds the wanted rank, until that bin has a single value. A pass returns at most
-    one row per bin, and a value that fills much of the table is one bin entry like any other.
+    one row per bin, and a value that fills much of the table is one bin entry like any other. Whole and decimal numbers
+    are never made floats; infinite values are counted apart, for they have no bin.
     """
-    rows = _numbers(df, column)
+    return _at_rank(cut_lineage(_numbers(df, column)), rank)
+
+
+def _at_rank(rows: DataFrame, rank: int) -> int | float | Decimal:
+    v, exact = F.col("v"), rows.schema["v"].dataType != DoubleType()
+    if not exact:
+        least, most = F.lit(float("-inf")), F.lit(float("inf"))
+        inside = (v > least) & (v < most)
+        found = rows.agg(F.count_if(v == least).alias("below"), F.count_if(inside).alias("n")).first()
+        if rank < found["below"]:
+            return float("-inf")
+        if rank >= found["below"] + found["n"]:
+            return float("inf")
+        rows, rank = rows.filter(inside), rank - found["below"]
     ends = rows.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
     low, high = ends["low"], ends["high"]
     while low < high:
-        inside = rows.filter((F.col("v") >= low) & (F.col("v") <= high))
-        bins = inside.groupBy(F.width_bucket("v", F.lit(low), F.lit(high), F.lit(HISTOGRAM_STEP)).alias("bin")).agg(
+        inside = rows.filter((v >= F.lit(low)) & (v <= F.lit(high)))
+        bins = inside.groupBy(_bin(low, high, exact).alias("bin")).agg(
             F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
         )
+        before = low, high
         for entry in sorted(bins.collect(), key=lambda b: b["bin"]):
             if rank < entry["n"]:
                 low, high = entry["low"], entry["high"]
                 break
             rank -= entry["n"]
+        if (low, high) == before:
+            raise ArithmeticError(f"values from {low} to {high} cannot be told apart by bins")
     return low
 
 
+def _bin(low: int | float | Decimal, high: int | float | Decimal, exact: bool) -> Column:
+    """Number of the bin of ``v`` between the ends of the range."""
+    if not exact:
+        # the range times the number of bins has to be finite
+        scale = 2.0**-20 if high / 2 - low / 2 > 1e300 else 1.0
+        return F.width_bucket(F.col("v") * scale, F.lit(low * scale), F.lit(high * scale), F.lit(HISTOGRAM_STEP))
+    if isinstance(low, Decimal):
+        width = max((high - low) / HISTOGRAM_STEP, Decimal(1).scaleb(low.as_tuple().exponent))
+        return F.floor((F.col("v") - F.lit(low)) / F.lit(width))
+    # the range of whole numbers can be wider than a bigint
+    width = -(-(high - low) // HISTOGRAM_STEP)
+    return F.floor((F.col("v").cast("decimal(20,0)") - F.lit(Decimal(low))) / F.lit(Decimal(width)))
+
+
 def _numbers(df: DataFrame, column: str) -> DataFrame:
-    return df.select(c(column).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    """The values as ``v``: bigint, decimal or double."""
+    rows = df.select(c(column).alias("v"))
+    kind = rows.schema["v"].dataType
+    if isinstance(kind, IntegralType):
+        return rows.select(F.col("v").cast("bigint").alias("v")).filter("v is not null")
+    if isinstance(kind, DecimalType):
+        return rows.filter("v is not null")
+    return rows.select(F.col("v").cast("double").alias("v")).filter("v is not null and not isnan(v)")

@@ -8,15 +8,19 @@ hints, and only after measuring; the question dictionary is a list in the code.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from pollfold.dictionary import QuestionSet
 from pollfold.functions.columns import c
 from pollfold.functions.text import is_blank
 from pollfold.operators.checks import enforce_unique
 
+NULL_KEY_PARTS = 1024
 UNKNOWN_MODES = ("error", "drop", "keep")
 
 
@@ -44,9 +48,19 @@ def lookup_join(
     return salted.join(copies, [*keys, "__part"], how).drop("__part")
 
 
+def _joined_on_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Left or left anti join. Rows without a key match nothing and may be many, so they are spread by their other columns."""
+    other = other.withColumn("__part", F.lit(0).cast("bigint"))
+    others = [c(f.name) for f in df.schema if isinstance(f.dataType, AtomicType)]
+    missing = reduce(or_, [c(k).isNull() for k in keys])
+    part = F.when(missing, 1 + F.pmod(F.xxhash64(*others), F.lit(NULL_KEY_PARTS))).otherwise(F.lit(0)).cast("bigint")
+    return df.withColumn("__part", part).join(other, [*keys, "__part"], how).drop("__part")
+
+
 def attach(df: DataFrame, other: DataFrame, on: str | Sequence[str], required: bool = True) -> DataFrame:
     """Add the columns of another table by key: inner when ``required``, else left."""
-    return df.join(other, on, "inner" if required else "left")
+    keys = [on] if isinstance(on, str) else list(on)
+    return df.join(other, keys, "inner") if required else _joined_on_keys(df, other, keys, "left")
 
 
 def natural_join(df: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
@@ -76,7 +90,7 @@ def keep_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 
 def remove_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """Rows whose key is not among the ids; rows without a key stay."""
-    return df.join(ids.select(on), on, "left_anti")
+    return _joined_on_keys(df, ids.select(on), [on], "left_anti").select(*[c(name) for name in df.columns])
 
 
 def remove_people(df: DataFrame, people: Sequence[str] | DataFrame, column: str = "person_id") -> DataFrame:

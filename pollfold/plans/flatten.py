@@ -65,7 +65,7 @@ def flatten(
     since_version: Mapping[str, float] | None = QUESTION_SINCE_VERSION,
     on_unknown: str = "error",
     deduplicate: bool = False,
-    id_kind: str | None = "adler32",
+    id_kind: str | None = "xxhash64",
 ) -> DataFrame:
     """Response table: the kept columns, ``question``, ``response`` and ``response_id``.
 

@@ -94,11 +94,15 @@ def without_early_test_votes(
     task_col: str = "task",
     time_col: str = "created_at",
 ) -> DataFrame:
-    """Drop votes that are both for a test subject and older than a date, in one anti join with that condition."""
+    """Drop votes that are both for a test subject and older than a date.
+
+    One anti join by subject; a vote that is not early has no key in it, like one without subject, and stays.
+    """
     ids = intensive_subjects(responses, question, min_votes, subject=subject, task_col=task_col)
     ids = ids.select(c(subject).alias("__test_subject"))
     early = c(time_col) < F.lit(before).cast("timestamp")
-    return responses.join(ids, (c(subject) == F.col("__test_subject")) & early, "left_anti")
+    keyed = responses.withColumn("__test_subject", F.when(early, c(subject)))
+    return remove_ids(keyed, ids, "__test_subject").drop("__test_subject")
 
 
 def volunteer_cohort(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pollfold.dictionaries import EUCLID
 from pollfold.functions.columns import c
-from pollfold.operators.joins import attach, one_to_one
+from pollfold.operators.joins import attach, one_to_one, remove_people
 from pollfold.operators.ranking import by_fraction
 from pollfold.operators.sets import stack
 from pollfold.plans.derive import derive
@@ -15,7 +15,7 @@ from pollfold.plans.export import export_to_responses
 from pollfold.plans.flatten import explode_annotations, flatten
 from pollfold.plans.predict import predict, votes_to_predictions
 from pollfold.plans.publish import attach_catalog, compare_surveys, publish_catalog, with_sky_split
-from pollfold.plans.quality import QualityRule, quality_report, without_early_test_votes, without_unreliable
+from pollfold.plans.quality import QualityRule, quality_report, unreliable_volunteers, without_early_test_votes, without_unreliable
 from pollfold.plans.rare import chosen_features, feature_counts, with_feature_fractions
 from pollfold.plans.reduce import reduce_responses, reduce_votes
 from pollfold.plans.report import activity_report
@@ -306,14 +306,14 @@ def drop_early_test_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{_JUDGED_SQL}, kept AS (SELECT * FROM responses WHERE NOT (
       subject_id IN (SELECT subject_id FROM responses GROUP BY subject_id HAVING count(*) >= 100)
       AND created_at < TIMESTAMP '2024-01-15 00:00:00')
-      AND user_id NOT IN (SELECT user_id FROM judged WHERE left_early OR answers_unwanted))
+      AND (user_id IS NULL OR user_id NOT IN (SELECT user_id FROM judged WHERE left_early OR answers_unwanted)))
     {_reduced_sql('subject_id', {'action': ['viewed', 'clicked', 'bought', 'joined', 'failed']}, 'kept')}""",
 )
 def filter_then_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = event_responses(spark, sf_dir)
     late = without_early_test_votes(responses, "2024-01-15", "action", 100, task_col="question")
-    bad = without_unreliable(responses, _RULE, **_RULE_COLUMNS).select("user_id").distinct()
-    return rounded(reduce_responses(late.join(bad, "user_id", "left_semi"), ACTIONS))
+    bad = unreliable_volunteers(responses, _RULE, **_RULE_COLUMNS)
+    return rounded(reduce_responses(remove_people(late, bad, "user_id"), ACTIONS))
 
 
 @query(

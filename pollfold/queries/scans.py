@@ -177,6 +177,16 @@ def next_records_above_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.next_records(events, 100, 500, "event_id").select("event_id", "event_type")
 
 
+@query(
+    "next_records_repeated_ids",
+    """SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey > 100 AND l_orderkey <= (
+      SELECT max(l_orderkey) FROM (SELECT l_orderkey FROM lineitem WHERE l_orderkey > 100 ORDER BY l_orderkey LIMIT 501))""",
+)
+def next_records_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several lines share an order: those of the last order all come along."""
+    return readers.next_records(table(spark, sf_dir, "lineitem"), 100, 501, "l_orderkey").select("l_orderkey", "l_linenumber")
+
+
 @query(
     "workflow_version_dimension",
     """SELECT CAST(n_regionkey AS VARCHAR) AS workflow_id, CAST(n_nationkey AS VARCHAR) AS workflow_major_version,

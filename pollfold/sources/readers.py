@@ -29,7 +29,6 @@ API_RECORD = (
 )
 WORKFLOW_VERSION = "major_number string, minor_number string, links struct<workflow:string>, strings map<string,string>"
 DERIVED_MARK = "derived"
-TOP_K = 100_000  # rows that a top-k may bring together in one task
 FIRST_ID = 159526481  # where an incremental pull starts when nothing was pulled before
 
 
@@ -115,19 +114,19 @@ def last_id(records: DataFrame, id_col: str = "id", default: int = FIRST_ID) ->
 def next_records(records: DataFrame, after: int, max_records: int | None = None, id_col: str = "id") -> DataFrame:
     """Records above a cursor; with ``max_records``, those with the lowest ids.
 
-    Small limits are a top-k. For larger ones the id of the last record is found first, so that no task has to hold them
-    all; records that share that id all come along.
+    The id at that rank is found first, so that no task has to hold them all. Records that share it all come along,
+    since the next call starts above it.
     """
     ids = c(id_col).cast("bigint")
     newer = records.filter(ids > F.lit(after))
     if max_records is None:
         return newer
-    if max_records <= TOP_K:
-        return newer.orderBy(ids).limit(max_records)
+    if max_records <= 0:
+        return newer.limit(0)
     numbered = newer.select(ids.alias("id"))
     if numbered.count() <= max_records:
         return newer
-    return newer.filter(ids <= F.lit(int(value_at_rank(numbered, "id", max_records - 1))))
+    return newer.filter(ids <= F.lit(value_at_rank(numbered, "id", max_records - 1)))
 
 
 def read_workflow_versions(spark: SparkSession, path: str, expected: int | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,29 @@ def test_exact_quantile(spark, q):
     assert agg.exact_quantile(spark.createDataFrame([], "v double"), "v", q) is None
 
 
+def test_exact_quantile_keeps_whole_and_infinite_values(spark):
+    def found(values, kind, q=0.5):
+        return agg.exact_quantile(spark.createDataFrame([(v,) for v in values], f"v {kind}"), "v", q)
+
+    odd = [9007199254740993, 9007199254740995, 9007199254740997]
+    assert found(odd, "long") == 9007199254740995
+    assert found([-(2**63), 2**63 - 1, 3], "long") == 3
+    assert found([Decimal(n) / 100 for n in odd], "decimal(20,2)") == Decimal("90071992547409.95")
+    inf = float("inf")
+    assert found([1.0, 2.0, inf], "double") == 2.0
+    assert [found([-inf, -inf, 1.0, 2.5, inf], "double", q) for q in (0.0, 0.5, 0.75, 1.0)] == [-inf, 1.0, 2.5, inf]
+    assert found([1.7e308, -1.7e308, 3.0], "double") == 3.0
+
+
+def test_rows_without_key_stay_and_are_spread(spark):
+    rows = spark.range(2000).selectExpr("id", "CASE WHEN id % 4 = 0 THEN id END AS k", "map('a', id) AS m")
+    ids = spark.createDataFrame([(4,), (8,), (None,)], "k long")
+    kept = joins.remove_ids(rows, ids, "k")
+    assert kept.columns == ["id", "k", "m"] and kept.count() == 1998
+    joined = joins.attach(rows, ids.selectExpr("k", "'x' AS found"), "k", required=False)
+    assert joined.count() == 2000 and joined.where("found = 'x'").count() == 2
+
+
 def test_histogram_like_numpy(spark):
     values = [0.0, 0.1, 0.25, 0.5, 0.5, 0.99, 1.0, 1.0]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")

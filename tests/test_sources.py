@@ -12,7 +12,7 @@ def chunk(path, first, last):
     path.write_text("\n".join(json.dumps({"id": str(i)}) for i in range(first, last + 1)))
 
 
-def test_chunk_files_and_cursor(spark, tmp_path, monkeypatch):
+def test_chunk_files_and_cursor(spark, tmp_path):
     chunk(tmp_path / "api_chunk_first.txt", 25810000, 25810020)
     chunk(tmp_path / "api_chunk_second.txt", 25810021, 25810095)
     chunk(tmp_path / "api_chunk_derived_first.txt", 1, 3)
@@ -26,11 +26,17 @@ def test_chunk_files_and_cursor(spark, tmp_path, monkeypatch):
     following = readers.next_records(raw, 25810090, 3)
     assert rows_of(following, "id") == [("25810091",), ("25810092",), ("25810093",)]
     assert readers.next_records(raw, 25810090).count() == 5
-    monkeypatch.setattr(readers, "TOP_K", 2)
-    assert rows_of(readers.next_records(raw, 25810090, 3)) == rows_of(following)
+    assert readers.next_records(raw, 25810090, 0).count() == 0
     assert readers.next_records(raw, 25810090, 10**10).count() == 5
 
 
+@pytest.mark.parametrize("most, found", [(1, 2), (2, 2), (3, 5), (5, 5), (6, 6), (7, 6)])
+def test_next_records_keep_repeated_ids(spark, most, found):
+    ids = [9007199254740993] * 2 + [9007199254740994] * 3 + [9007199254740996, 5, None]
+    records = spark.createDataFrame([(i, "x") for i in ids], "id long, v string")
+    assert readers.next_records(records, 100, most).count() == found
+
+
 def test_announced_version_count(spark):
     raw = spark.createDataFrame([("1", "2", ("9",), {})], readers.WORKFLOW_VERSION)
     with pytest.raises(ValueError, match="2 announced"):
