@@ -19,6 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_ID = 2**63 - 1
 # text per step inside a task, so that memory does not depend on the batch
 SLICE_BYTES = 1 << 20
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """The rows written to the shared folder and read from there: lineage ends, lost executors cost nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written to the shared folder and read from there: lineage ends, lost executors cost nothing.
+
+    Shuffle files of the step go as soon as its rows are written, so that disk holds those of one step at a time.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def n_words(text: Column) -> Column:
