@@ -37,12 +37,10 @@ def tokens_of(line: Column) -> Column:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, id, digest, line, tokens, set_id, set_check) of every line with a word."""
-    rows = docs.select(
-        "doc_id",
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
-        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"),
-        F.posexplode(F.split(plain(F.coalesce("text", F.lit(""))), "\n", -1)).alias("line", "words"),
-    )
+    text = F.coalesce("text", F.lit(""))
+    # the digest before the lines: beside a generator it would be made again from the whole text for every line
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("digest"))
+    rows = rows.select("doc_id", "id", "digest", F.posexplode(F.split(plain(F.col("text")), "\n", -1)).alias("line", "words"))
     # as the one row of a generator the tokens are made once, not again in every expression that uses them
     once = F.explode(F.array(tokens_of(F.col("words")))).alias("tokens")
     rows = rows.select("doc_id", "id", "digest", "line", once).where(F.size("tokens") > 0)
