@@ -84,16 +84,17 @@ def prefixes(lines: DataFrame, percent: int) -> DataFrame:
     one = F.lit(1).cast("long")
     bit = lambda t: F.call_function("shiftleft", one, F.pmod(t, F.lit(64)).cast("int"))
     bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
-    chosen = lines.select("set_id", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix"))
+    chosen = lines.select("set_id", "set_check", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix"))
     # repeated lines are one row from here on, put together before the shuffle and before their tokens are rows
-    listed = chosen.dropDuplicates(["set_id"]).select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
+    listed = chosen.dropDuplicates(["set_id", "set_check"]).select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
     # a token that is alone in its bin has nothing to meet
     return listed.where(F.shiftright("token", 32) > 1)
 
 
 def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
     """(set_id, set_check) of the sets that an earlier first line of another set is similar to."""
-    rows = prefixes(lines, percent)
+    # a table, since the two sides of a join don't share a shuffle of exploded rows
+    rows = saved(prefixes(lines, percent), "line-prefixes", compression="zstd")
     one = rows.select("token", *[F.col(c).alias("a_" + c) for c in ("set_id", "size", "place", "bits")])
     other = rows.select("token", *[F.col(c).alias("b_" + c) for c in ("set_id", "size", "place", "bits")])
     a, b = F.col("a_size"), F.col("b_size")
