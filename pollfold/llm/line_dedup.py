@@ -16,6 +16,10 @@ RARITY_BINS = 1 << 20
 # levels of rarity to a doubling of the count; a level is below 128 for any count below 2**31
 LEVELS = 4
 BROADCAST_SETS = 1_000_000
+# prefix tokens by which a set meets its likely partner
+HEADS = 3
+# numbers of 64 bits that sum up a set before its tokens are read
+WIDE = 4
 # a text has few different words, so their hashes are short numbers in a dictionary of this size
 WORD_PAGES = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
 OTHER_SPACES = "\t\x0b\x0c\r"
@@ -31,7 +35,7 @@ def plain(text: Column) -> Column:
 
 def tokens_of(line: Column) -> Column:
     """Hashes of the distinct words of a plain line, in the order of the hashes."""
-    found = F.filter(F.split(line, " "), lambda w: w != "")
+    found = F.array_remove(F.split(line, " "), "")
     return F.sort_array(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w))))
 
 
@@ -48,7 +52,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def rarity_bin(token: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(2), token), F.lit(RARITY_BINS)).cast("int")
+    # tokens are hashes, so their low bits are spread evenly
+    return token.bitwiseAND(RARITY_BINS - 1).cast("int")
 
 
 def rarities(lines: DataFrame) -> bytes:
@@ -67,8 +72,12 @@ def overlap_needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / F.lit(100 + percent))
 
 
-def prefixes(lines: DataFrame, percent: int) -> DataFrame:
-    """(token, set_id, size, place, bits) of the rarest tokens of every set: of two similar sets these share one at least.
+def bit(token: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(token, F.lit(64)).cast("int"))
+
+
+def distinct_sets(lines: DataFrame, percent: int) -> DataFrame:
+    """(set_id, set_check, first, size, bits, prefix) of every set: its first line and its rarest tokens.
 
     A set of n tokens has at least ceil(percent * n / 100) in common with a similar one, so one of its first
     n - that + 1 in any common order. ``bits`` has one of 64 bits set for every token.
@@ -81,47 +90,100 @@ def prefixes(lines: DataFrame, percent: int) -> DataFrame:
     ranked = F.sort_array(F.transform("tokens", rank))
     n = F.size("tokens")
     least = F.ceil(percent * n / F.lit(100)).cast("int")
-    one = F.lit(1).cast("long")
-    bit = lambda t: F.call_function("shiftleft", one, F.pmod(t, F.lit(64)).cast("int"))
     bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
-    chosen = lines.select("set_id", "set_check", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix"))
+    chosen = lines.select(
+        "set_id", "set_check", "id", "line", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix")
+    )
     # repeated lines are one row from here on, put together before the shuffle and before their tokens are rows
-    listed = chosen.dropDuplicates(["set_id", "set_check"]).select("set_id", "size", "bits", F.posexplode("prefix").alias("place", "token"))
-    # a token that is alone in its bin has nothing to meet
-    return listed.where(F.shiftright("token", 32) > 1)
+    same = [F.first(c).alias(c) for c in ("size", "bits", "prefix")]
+    return chosen.groupBy("set_id", "set_check").agg(F.min(F.struct("id", "line")).alias("first"), *same)
 
 
-def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
-    """(set_id, set_check) of the sets that an earlier first line of another set is similar to."""
+def listed(sets: DataFrame, prefix: Column, *columns: str) -> DataFrame:
+    """``columns`` with the place and token of every prefix token; a token that is alone in its bin has nothing to meet."""
+    return sets.select(*columns, F.posexplode(prefix).alias("place", "token")).where(F.shiftright("token", 32) > 1)
+
+
+def may_be_similar(a: Column, b: Column, a_bits: Column, b_bits: Column, percent: int) -> Column:
+    """Sizes are near enough, and no more bits differ than tokens may."""
+    apart = F.bit_count(a_bits.bitwiseXOR(b_bits))
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (apart <= a + b - 2 * overlap_needed(a, b, percent))
+
+
+def nearest_first_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for every set at most one other set, an earlier one of its size that has a rare token in common with it.
+
+    Of a token's sets of one size only the earliest is met, so a group of copies makes as many pairs as it has members.
+    """
+    heads = listed(sets, F.slice("prefix", 1, HEADS), "set_id", "first", "size", "bits").drop("place")
+    met = heads.groupBy("token", "size").agg(F.min(F.struct("first", "set_id", "bits")).alias("met"), F.count("*").alias("n"))
+    met = saved(met.where("n > 1").drop("n"), "line-heads", compression="zstd")
+    found = heads.join(met, ["token", "size"]).where(F.col("first") > F.col("met.first"))
+    found = found.where(may_be_similar(F.col("size"), F.col("size"), F.col("bits"), F.col("met.bits"), percent))
+    apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("met.bits")))
+    nearest = found.groupBy("set_id").agg(F.min(F.struct(apart.alias("apart"), "met.first", "met.set_id")).alias("met"))
+    return nearest.select(F.col("met.set_id").alias("a"), F.col("set_id").alias("b"))
+
+
+def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the sets that pass all filters, but for pairs of two sets that are in ``sure``."""
+    marked = sets.drop("first").join(small_or_not(sure.withColumn("sure", F.lit(True))), ["set_id", "set_check"], "left")
+    marked = marked.withColumn("sure", F.coalesce("sure", F.lit(False)))
     # a table, since the two sides of a join don't share a shuffle of exploded rows
-    rows = saved(prefixes(lines, percent), "line-prefixes", compression="zstd")
-    one = rows.select("token", *[F.col(c).alias("a_" + c) for c in ("set_id", "size", "place", "bits")])
-    other = rows.select("token", *[F.col(c).alias("b_" + c) for c in ("set_id", "size", "place", "bits")])
+    rows = saved(listed(marked, F.col("prefix"), "set_id", "size", "bits", "sure"), "line-prefixes", compression="zstd")
+    one, other = (rows.select("token", *[F.col(c).alias(x + c) for c in ("set_id", "size", "place", "bits", "sure")]) for x in ("a_", "b_"))
     a, b = F.col("a_size"), F.col("b_size")
     rest = F.least(a - F.col("a_place"), b - F.col("b_place"))
-    apart = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
     pairs = one.join(
         other,
         (one["token"] == other["token"])
         & (F.col("a_set_id") < F.col("b_set_id"))
-        & (100 * F.least(a, b) >= percent * F.greatest(a, b))
-        & (rest >= overlap_needed(a, b, percent))
-        & (apart <= a + b - 2 * overlap_needed(a, b, percent)),
+        & ~(F.col("a_sure") & F.col("b_sure"))
+        & may_be_similar(a, b, F.col("a_bits"), F.col("b_bits"), percent)
+        & (rest >= overlap_needed(a, b, percent)),
     )
-    pairs = saved(pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct(), "line-pairs")
+    return pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct()
+
+
+def small_or_not(table: DataFrame) -> DataFrame:
+    """The written table, broadcast if its rows have been counted to be few."""
+    return F.broadcast(table) if table.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS else table
+
+
+def verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(set_id, set_check) of the later sets of the written ``pairs`` (a, b) that are similar, by their whole sets."""
     wanted = saved(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "line-candidates")
-    if wanted.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS:
-        wanted = F.broadcast(wanted)
-    first = F.min(F.struct("id", "line")).alias("first")
-    sets = lines.join(wanted, "set_id", "left_semi").groupBy("set_id", "set_check").agg(first, F.min("tokens").alias("tokens"))
-    sets = saved(sets, "line-sets", **WORD_PAGES)
-    side = lambda x: sets.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("set_check", "first", "tokens")])
-    full = pairs.join(side("a"), "a").join(side("b"), "b")
+    sets = lines.join(small_or_not(wanted), "set_id", "left_semi").groupBy("set_id", "set_check")
+    sets = sets.agg(F.min(F.struct("id", "line")).alias("first"), F.min("tokens").alias("tokens"))
+    # as many bits as four numbers have: what these let through is nearly always similar
+    part = lambda k: F.filter("tokens", lambda t: F.shiftright(t, 6).bitwiseAND(WIDE - 1) == k)
+    wide = [F.aggregate(part(k), F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t))).alias(f"w{k}") for k in range(WIDE)]
+    sets = saved(sets.select("set_id", "set_check", "first", F.size("tokens").alias("size"), *wide, "tokens"), "line-sets", **WORD_PAGES)
+    side = lambda x, *names: sets.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in names])
+    light = ("set_check", "first", "size", *[f"w{k}" for k in range(WIDE)])
+    near = pairs.join(side("a", *light), "a").join(side("b", *light), "b")
+    apart = sum(F.bit_count(F.col(f"a_w{k}").bitwiseXOR(F.col(f"b_w{k}"))) for k in range(WIDE))
+    sizes = F.col("a_size") + F.col("b_size")
+    near = near.where(apart <= sizes - 2 * overlap_needed(F.col("a_size"), F.col("b_size"), percent)).where("a_first != b_first")
+    near = saved(near.select("a", "b", "a_set_check", "b_set_check", (F.col("a_first") > F.col("b_first")).alias("a_late")), "line-near")
+    full = near.join(side("a", "set_check", "tokens"), ["a", "a_set_check"]).join(side("b", "set_check", "tokens"), ["b", "b_set_check"])
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     alike = full.where(100 * both >= percent * (F.size("a_tokens") + F.size("b_tokens") - both))
-    late = F.when(F.col("a_first") > F.col("b_first"), F.struct(F.col("a").alias("set_id"), F.col("a_set_check").alias("set_check")))
-    late = late.when(F.col("b_first") > F.col("a_first"), F.struct(F.col("b").alias("set_id"), F.col("b_set_check").alias("set_check")))
-    return alike.select(late.alias("late")).where("late IS NOT NULL").select("late.*").distinct()
+    late = lambda x: F.struct(F.col(x).alias("set_id"), F.col(f"{x}_set_check").alias("set_check"))
+    return alike.select(F.when(F.col("a_late"), late("a")).otherwise(late("b")).alias("late")).select("late.*").distinct()
+
+
+def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
+    """(set_id, set_check) of the sets that an earlier first line of another set is similar to.
+
+    One likely partner of every set is verified before all others: in a group of near copies this settles nearly all
+    members, and two settled sets are no candidates for each other. So a group does not make all its pairs.
+    """
+    sets = saved(distinct_sets(lines, percent), "line-distinct", **WORD_PAGES)
+    likely = saved(nearest_first_pairs(sets, percent), "line-likely")
+    sure = saved(verified(lines, likely, percent), "line-sure")
+    others = saved(candidate_pairs(sets, sure, percent), "line-pairs")
+    return sure.union(verified(lines, others, percent)).distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
