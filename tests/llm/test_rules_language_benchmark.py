@@ -98,6 +98,43 @@ def test_kneser_ney(spark):
     np.testing.assert_allclose(got, expected, rtol=1e-4)
 
 
+def test_kneser_ney_of_many_grams(spark, odd_docs):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=4000)) for _ in range(75)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(100 + i, " ".join(rng.choices(["der", "und", "mit"], k=40)), "de") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert isinstance(model, language.Model)
+    counts, _ = brute_kneser_ney(texts, language.ORDER, {})
+    assert len(counts[language.ORDER]) > 2**17
+    # every gram and context is there, also those seen once
+    for n, c in counts.items():
+        own = language.packed(np.array(list(c)).ravel(), n)[::n]
+        alpha = language.found_in(model.grams[n - 1], own, -1.0)
+        gamma = language.found_in(model.contexts[n - 1], own >> language.BITS, -1.0)
+        assert (alpha >= 0).all() and (gamma[:, model.langs.index("en")] < 1).all() and (gamma >= 0).all()
+    discounts = {}
+    for n, c in counts.items():
+        n1, n2 = sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())
+        discounts[n] = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+    _, chance = brute_kneser_ney(texts, language.ORDER, discounts)
+    grams = language.packed(language.letters([texts[0][:12] + " qzx"])[0], language.ORDER)
+    classes = [[g >> (language.BITS * k) & 4095 for k in (3, 2, 1, 0)] for g in grams.tolist()]
+    np.testing.assert_allclose(model.chances(grams)[:, model.langs.index("en")], [chance(tuple(x)) for x in classes], rtol=1e-4)
+
+    # the same in tables
+    written = language.train(docs, shipped_bytes=0)
+    assert isinstance(written, language.WrittenModel) and written.langs == model.langs and written.uniform == model.uniform
+    np.testing.assert_allclose(written.limits, model.limits)
+    for some in (docs, odd_docs, odd_docs.limit(0)):
+        key = lambda r: (r.doc_id is None, r.doc_id, r.bits is None, r.bits)
+        one, two = (sorted(language.identify(some, m).collect(), key=key) for m in (model, written))
+        assert len(one) == len(two) == some.count()
+        for a, b in zip(one, two):
+            assert (a.doc_id, a.lang_pred) == (b.doc_id, b.lang_pred)
+            assert (a.score, a.bits) == (pytest.approx(b.score), pytest.approx(b.bits))
+
+
 def test_language(spark, odd_docs):
     rng = random.Random(4)
     forms = {"en": ["the", "and", "with", "house", "thing"], "de": ["der", "und", "mit", "haus", "straße"], "ru": ["это", "и", "дом", "с", "вещь"]}
