@@ -20,10 +20,13 @@ BROWSER_METADATA = (
     "workflow_translation_id string"
 )
 
+# a damaged cell fails the job; permissive parsing would make it null and lose what it holds
+STRICT = {"mode": "FAILFAST"}
+
 
 def string_map(text: Column) -> Column:
     """JSON object as ``map<string,string>``; nested members stay JSON text."""
-    return F.from_json(text, "map<string,string>")
+    return F.from_json(text, "map<string,string>", STRICT)
 
 
 def first_member(text: Column) -> Column:
@@ -31,7 +34,7 @@ def first_member(text: Column) -> Column:
 
     Subject data is an object with one member, keyed by the subject id.
     """
-    return F.element_at(F.map_values(F.from_json(text, "map<string,map<string,string>>")), 1)
+    return F.element_at(F.map_values(F.from_json(text, "map<string,map<string,string>>", STRICT)), 1)
 
 
 def first_present(members: Column, keys: Sequence[str]) -> Column:
@@ -50,7 +53,7 @@ def frame_url(locations: Column, frame: int = 0) -> Column:
 
 
 def browser_metadata(text: Column) -> Column:
-    return F.from_json(text, BROWSER_METADATA)
+    return F.from_json(text, BROWSER_METADATA, STRICT)
 
 
 def export_annotations(text: Column, multiple_choice_labels: Sequence[str]) -> Column:
@@ -59,7 +62,7 @@ def export_annotations(text: Column, multiple_choice_labels: Sequence[str]) -> C
     A question is multiple choice when its label starts with one of ``multiple_choice_labels``; list
     values land as JSON text. A label that is missing counts as single choice.
     """
-    parsed = F.from_json(text, ANNOTATION_TEXT)
+    parsed = F.from_json(text, ANNOTATION_TEXT, STRICT)
 
     def member(a: Column) -> Column:
         label = a["task_label"]
@@ -100,7 +103,7 @@ def labelled_annotations(annotations: Column, strings: Column, strict: bool = Fa
     def member(a: Column) -> Column:
         task, value = a["task"], a["value"]
         many = F.startswith(F.ltrim(value), F.lit("["))
-        indices = F.from_json(value, "array<int>")
+        indices = F.from_json(F.when(many, value), "array<int>", STRICT)
         return F.struct(
             task.alias("task"),
             F.when(many, F.to_json(F.transform(indices, lambda i: answer(task, i))))

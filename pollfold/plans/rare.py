@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pollfold.functions.columns import c
+from pollfold.functions.jsons import STRICT
 from pollfold.functions.text import sanitise, underscored
 from pollfold.functions.votes import fraction
 from pollfold.operators.aggregates import distinct_values
@@ -16,7 +17,7 @@ from pollfold.sources.storage import cut_lineage
 
 def chosen_features(rows: DataFrame, key: str, value: str = "value", is_json: bool = True) -> DataFrame:
     """One row per chosen feature, as a column-safe label; an empty list gives one null row."""
-    answers = F.from_json(c(value), "array<string>") if is_json else c(value)
+    answers = F.from_json(c(value), "array<string>", STRICT) if is_json else c(value)
     exploded = rows.select(c(key), F.explode_outer(answers).alias("feature"))
     return exploded.select(c(key), underscored(sanitise(F.col("feature"))).alias("feature"))
 

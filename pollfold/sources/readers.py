@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pollfold.functions.columns import c
+from pollfold.functions.jsons import STRICT
 from pollfold.operators.aggregates import value_at_rank
 
 # Column names and types of the platform's files (fixed values).
@@ -34,18 +35,18 @@ FIRST_ID = 159526481  # where an incremental pull starts when nothing was pulled
 
 def infer_schema_from_example(spark: SparkSession, example: str) -> StructType:
     """Schema of one small JSON-lines file, for streams that have to know it up front."""
-    return spark.read.json(example).schema
+    return spark.read.options(**STRICT).json(example).schema
 
 
 def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = API_RECORD) -> DataFrame:
-    """JSON-lines files or folders; with ``schema=None`` the schema is inferred (an extra pass)."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    """JSON-lines files or folders; with ``schema=None`` the schema is inferred (an extra pass). A damaged line fails the scan."""
+    reader = spark.read.options(**STRICT) if schema is None else spark.read.options(**STRICT).schema(schema)
     return reader.json(paths if isinstance(paths, str) else list(paths))
 
 
 def stream_json(spark: SparkSession, folder: str, schema: StructType | str = API_RECORD, max_files: int | None = None) -> DataFrame:
-    """New JSON-lines files of a folder as a stream."""
-    reader = spark.readStream.schema(schema)
+    """New JSON-lines files of a folder as a stream; a damaged line stops it."""
+    reader = spark.readStream.options(**STRICT).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(folder)
@@ -94,7 +95,7 @@ def read_chunks(
 
     Chunk files share a name prefix; derived ones have ``derived`` in their name.
     """
-    chunks = spark.read.schema(schema).option("pathGlobFilter", f"{prefix}*").json(folder)
+    chunks = spark.read.options(**STRICT).schema(schema).option("pathGlobFilter", f"{prefix}*").json(folder)
     named = chunks.select("*", F.col("_metadata.file_name").alias("file_name"))
     is_derived = F.contains("file_name", F.lit(DERIVED_MARK))
     return named.filter(is_derived if derived else ~is_derived)
@@ -131,7 +132,7 @@ def next_records(records: DataFrame, after: int, max_records: int | None = None,
 
 def read_workflow_versions(spark: SparkSession, path: str, expected: int | None = None) -> DataFrame:
     """Label maps of all workflow versions: ``workflow_id, workflow_major_version, workflow_minor_version, strings``."""
-    return workflow_versions(spark.read.schema(WORKFLOW_VERSION).json(path), expected)
+    return workflow_versions(spark.read.options(**STRICT).schema(WORKFLOW_VERSION).json(path), expected)
 
 
 def workflow_versions(raw: DataFrame, expected: int | None = None) -> DataFrame:

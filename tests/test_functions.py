@@ -143,3 +143,29 @@ def test_export_annotations(spark):
     parsed = jsons.export_annotations(F.col("s"), ["Do you see any of these rare features"])
     rows = df.select(F.inline(parsed)).select("task_id", "value", "multiple_choice")
     assert rows_of(rows) == [("T0", "yes", False), ("T10", '["ring"]', True), ("T5", None, False)]
+
+
+@pytest.mark.parametrize(
+    "parse, good, bad",
+    [
+        (jsons.string_map, '{"a": "1"}', '{"a": "1'),
+        (jsons.first_member, '{"5": {"a": "1"}}', '{"5": {"a"'),
+        (jsons.browser_metadata, '{"source": "api"}', '{"source": '),
+        (lambda cell: jsons.export_annotations(cell, []), '[{"task": "T0", "value": "x"}]', '[{"task": "T0", "val'),
+    ],
+)
+def test_damaged_cells_raise(spark, parse, good, bad):
+    cells = lambda *texts: spark.createDataFrame([(t,) for t in texts], "cell string").select(parse(F.col("cell")).alias("x"))
+    assert [r.x is None for r in cells(good, None).collect()] == [False, True]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        cells(good, bad).collect()
+
+
+def test_damaged_lists_raise(spark):
+    strings = F.create_map(*[F.lit(x) for pair in (("T0.question", "q"), ("T0.answers.0.label", "a")) for x in pair])
+    labelled = lambda value: spark.createDataFrame([([("T0", value)],)], "x array<struct<task:string,value:string>>").select(
+        jsons.labelled_annotations(F.col("x"), strings).alias("y")
+    )
+    assert [labelled(v).first().y[0].value for v in ("0", "[0]")] == ["a", '["a"]']
+    with pytest.raises(Exception, match="(?i)malformed"):
+        labelled("[0, ").collect()
