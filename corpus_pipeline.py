@@ -11,7 +11,8 @@ from pollfold.llm.stages import STAGES as _STAGES
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = _STAGES
 
-# the classifier of the first stage is trained, which SQL cannot express; tests compare the stages with brute force
+# the classifier of the first stage is trained, which SQL cannot express; test_pipeline_stages compares every stage with brute
+# force, the trained classifier with texts that are good or bad by construction
 ORACLE_SQL = None
 
 

@@ -5,10 +5,14 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pollfold.llm import line_dedup, near_dedup
 from pollfold.llm.components import components
+from pollfold.llm.decontamination import normal
+from tests.llm.test_rules_language_benchmark import brute_measures, edit_table
+from tests.llm.test_url_secrets_mixing import brute_seats, brute_targets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 low = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s or "")
@@ -110,3 +114,120 @@ def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "benchmark_decontamination", "mixing_sources"]
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 100 and {"doc_id", "size", "source_size", "target", "taken"} <= set(out.columns)
+
+
+def wrapped(words, n):
+    return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def pipeline_rows(rng):
+    """(rows, labels, items): good and bad texts, copies, near copies in other lines, repeated lines, benchmark passages."""
+    syllables = ["ba", "do", "ke", "li", "mu", "na", "po", "ri", "su", "te"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(3))
+    good = lambda n=40: [word() for _ in range(n)]
+    bad = lambda: [rng.choice(["BUY", "$$$", "NOW", "!!!", "CLICK"]) + rng.choice(["", "!!", "%%"]) for _ in range(40)]
+    texts = [wrapped(bad() if i % 2 == 0 else good(), 8) for i in range(300)]
+    labels = [(i, i % 2, 0) for i in range(240)]
+    bases = [good(44) for _ in range(8)]
+    for base in bases:
+        texts += [wrapped(base, 11), wrapped(base, 11)]  # exact copies lose all lines
+        texts += [wrapped([*base[:20], word(), *base[20:]], 7)]  # near copies of which few lines are similar
+    line = " ".join(good(9))
+    texts += [f"{wrapped(good(), 10)}\n{line.upper() if i % 2 else line} \n" for i in range(5)]
+    items = [(k, " ".join(good(12))) for k in range(3)] + [(9, None), (10, "  ")]
+    for k in range(3):
+        texts.append(wrapped(good(20), 10) + " " + items[k][1].title() + " " + wrapped(good(20), 10))
+        texts.append(wrapped(good(20), 10) + " " + items[k][1].replace("a", "", 1) + " end")
+        texts.append(wrapped(good(20), 10) + " " + items[k][1][: len(items[k][1]) // 2] + " end")
+    texts += [None, "", " \n", "nine words are too few for a document", " ".join(good(3) * 20)]
+    names = ["web", "web", "books", "code", None, "ü"]
+    rows = [(i, rng.choice(names), t) for i, t in enumerate(texts)]
+    rows += [rows[1]] + [(None, "web", wrapped(good(), 8)), (None, None, wrapped(good(), 8))]
+    return [(i, t, "en", s, None if t is None else len(t)) for i, s, t in rows], labels, items
+
+
+def brute_stages(rows, labels, items):
+    """The documents (doc_id, text, lang, source, n_chars) after each of the first four stages."""
+    stages = []
+    looks_good = lambda t: "$$$" not in t and "CLICK" not in t
+    measured = lambda t: (m := brute_measures(t))[0] >= 10 and 100 * m[4] <= 20 * m[0]
+    rows = [r for r in rows if measured(r[1]) and looks_good(r[1])]
+    stages.append(rows)
+
+    lines = [(order(r[0]), k, frozenset(WORD.findall(low(x)))) for r in rows for k, x in enumerate(r[1].split("\n"))]
+    lines = [x for x in lines if x[2]]
+    cut = []
+    for i, t, lang, source, _ in rows:
+        kept, had, gone = [], 0, 0
+        for k, x in enumerate(t.split("\n")):
+            s = frozenset(WORD.findall(low(x)))
+            again = bool(s) and any((o, p) < (order(i), k) and 100 * len(s & z) >= 80 * len(s | z) for o, p, z in lines)
+            had, gone = had + bool(s), gone + again
+            kept += [] if again else [x]
+        if not gone or gone < had:
+            cut.append((i, "\n".join(kept), lang, source, len("\n".join(kept))))
+    rows = cut
+    stages.append(rows)
+
+    found = sets_of(rows)
+    top = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if found[a] and 100 * len(found[a] & found[b]) >= near_dedup.PERCENT * len(found[a] | found[b]):
+                top = [top[b] if x == top[a] else x for x in top]
+    first = {}
+    for a, r in enumerate(rows):
+        if top[a] not in first or order(r[0]) < order(rows[first[top[a]]][0]):
+            first[top[a]] = a
+    rows = [r for a, r in enumerate(rows) if first[top[a]] == a]
+    stages.append(rows)
+
+    passages = [normal(x) for _, x in items if x and x.strip()]
+    rows = [r for r in rows if not any(edit_table(x, normal(r[1]))[0] <= len(x) // 20 for x in passages)]
+    stages.append(rows)
+    return stages
+
+
+def sets_of(rows):
+    words = [WORD.findall(low(r[1])) for r in rows]
+    return [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} for w in words]
+
+
+def brute_mix(spark, rows):
+    """(doc_id, size, source_size, target, taken) with 1 shard per source, blocks of 16 words."""
+    ids = spark.createDataFrame([(r[0],) for r in rows], "i long").distinct()
+    hashed = F.xxhash64(F.lit(20), F.coalesce(F.col("i").cast("string"), F.lit("null")))
+    lot = {r.i: r.lot for r in ids.select("i", F.xxhash64(hashed).alias("lot")).collect()}
+    sized = [(r[0], r[3], len(WORD.findall(r[1]))) for r in rows]
+    sizes = Counter()
+    for _, source, n in sized:
+        sizes[source] += n
+    aims = brute_targets(sizes)
+    names = sorted(aims, key=lambda s: (s is not None, s or ""))
+    quotas = dict(zip(names, brute_seats([aims[s] for s in names], int(sum(aims.values()) / 16 + 0.5))))
+    out = []
+    for s in names:
+        own = sorted((x for x in sized if x[1] == s), key=lambda x: (lot[x[0]], order(x[0]), x[2]))
+        read = min(quotas[s] * 16, 2 * sizes[s])
+        stream = [k for k, x in enumerate(own) for _ in range(x[2])] * 2
+        taken = Counter(stream[:read])
+        out += [(x[0], x[2], sizes[s], round(aims[s], 6), taken[k]) for k, x in enumerate(own)]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_pipeline_stages(spark, tmp_path, seed):
+    rows, labels, items = pipeline_rows(random.Random(seed))
+    schemas = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    for (name, schema), table in zip(schemas.items(), (rows, labels, items)):
+        spark.createDataFrame(table, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    expected = brute_stages(rows, labels, items)
+    assert len({len(x) for x in [rows, *expected]}) == 5  # every stage has something to remove
+    for (name, stage), after in zip(corpus_pipeline.STAGES, expected):
+        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert Counter(map(tuple, docs.collect())) == Counter(after), name
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    got = Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in whole.collect())
+    assert got == brute_mix(spark, expected[-1])
