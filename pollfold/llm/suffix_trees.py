@@ -1,4 +1,4 @@
-"""Substring dedup: suffix trees of groups of suffixes with a common part; deep internal nodes are the repeats."""
+"""Substring dedup: sorted suffixes of groups with a common part; runs that share enough are the deep nodes of their suffix tree."""
 
 from __future__ import annotations
 
