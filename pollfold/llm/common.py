@@ -39,7 +39,17 @@ def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
         df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables that ``saved`` has written and nothing reads any more, through Spark's own file system."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def n_words(text: Column) -> Column:

@@ -8,45 +8,58 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import NO_ID, ascii_lower, columns_of, saved
+from pollfold.llm.common import NO_ID, ascii_lower, columns_of, dropped, saved
 
 PERCENT = 80
 # tokens are counted in this many hashed bins, a table of fixed size that every task can hold
 RARITY_BINS = 1 << 20
 # levels of rarity to a doubling of the count; a level is below 128 for any count below 2**31
 LEVELS = 4
-BROADCAST_SETS = 1_000_000
 # prefix tokens by which a set meets its likely partner
-HEADS = 3
+HEADS = 2
+# sets whose ids fit in this many bytes are sent to all tasks, others meet by a shuffle
+BROADCAST_BYTES = 8 << 20
+# sizes of one class differ by less than this share; a set also looks into the next class below
+SIZE_CLASS = 1.12
 # numbers of 64 bits that sum up a set before its tokens are read
 WIDE = 4
+# lines of one document are below this number
+LINES = 1 << 31
 # a text has few different words, so their hashes are short numbers in a dictionary of this size
 WORD_PAGES = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
 OTHER_SPACES = "\t\x0b\x0c\r"
+# characters beyond ASCII that lower() may change
+OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^\x00-\x7F]]"
 
 
-def plain(text: Column) -> Column:
-    """A-Z lower-cased and every space that ends a word, but for line feeds, made a blank."""
-    # the general lower() is the faster one, and the same for ASCII
-    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(ascii_lower(text))
-    spaced = reduce(or_, [F.contains(text, F.lit(s)) for s in OTHER_SPACES])
+def plain(line: Column) -> Column:
+    """A-Z lower-cased and every space that ends a word made a blank."""
+    # the general lower() is the faster one, and the same where it meets no capital beyond ASCII
+    ascii_only = F.octet_length(line) == F.length(line)
+    lowered = F.when(ascii_only, F.lower(line)).when(line.rlike(OTHER_CAPITALS), ascii_lower(line)).otherwise(F.lower(line))
+    spaced = reduce(or_, [F.contains(line, F.lit(s)) for s in OTHER_SPACES])
     return F.when(spaced, F.translate(lowered, OTHER_SPACES, " " * len(OTHER_SPACES))).otherwise(lowered)
 
 
 def tokens_of(line: Column) -> Column:
     """Hashes of the distinct words of a plain line, in the order of the hashes."""
-    found = F.array_remove(F.split(line, " "), "")
-    return F.sort_array(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w))))
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
+
+
+def text_digest(text: Column) -> Column:
+    """Tells texts of rows with equal ids apart."""
+    return F.xxhash64(text, F.octet_length(text))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, id, digest, line, tokens, set_id, set_check) of every line with a word."""
     text = F.coalesce("text", F.lit(""))
     # the digest before the lines: beside a generator it would be made again from the whole text for every line
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("digest"))
-    rows = rows.select("doc_id", "id", "digest", F.posexplode(F.split(plain(F.col("text")), "\n", -1)).alias("line", "words"))
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text.alias("text"), text_digest(text).alias("digest"))
+    rows = rows.select("doc_id", "id", "digest", F.posexplode(F.split("text", "\n", -1)).alias("line", "words"))
     # as the one row of a generator the tokens are made once, not again in every expression that uses them
-    once = F.explode(F.array(tokens_of(F.col("words")))).alias("tokens")
+    once = F.explode(F.array(tokens_of(plain(F.col("words"))))).alias("tokens")
     rows = rows.select("doc_id", "id", "digest", "line", once).where(F.size("tokens") > 0)
     return rows.withColumns({"set_id": F.xxhash64("tokens"), "set_check": F.xxhash64(F.lit(1), "tokens")})
 
@@ -56,15 +69,14 @@ def rarity_bin(token: Column) -> Column:
     return token.bitwiseAND(RARITY_BINS - 1).cast("int")
 
 
-def rarities(lines: DataFrame) -> bytes:
-    """The level of the token count of every bin, a byte each: on a scale of logarithms, of the same size for any table."""
+def rarities(lines: DataFrame) -> DataFrame:
+    """(levels): one row with the level of the token count of every bin, on a scale of logarithms, of the same size for any table."""
     counted = lines.select(F.explode("tokens").alias("t")).groupBy(rarity_bin(F.col("t")).alias("bin")).agg(F.count("*").alias("n"))
-    level = F.least(F.floor(F.log2(F.col("n")) * LEVELS) + 1, F.lit(127)).cast("int")
-    levels = bytearray(RARITY_BINS)
-    for found, at in counted.select("bin", level.alias("level")).groupBy("level").agg(F.collect_list("bin")).toLocalIterator():
-        for bin_ in at:
-            levels[bin_] = found
-    return bytes(levels)
+    level = F.least(F.floor(F.log2(F.col("n")) * LEVELS) + 1, F.lit(127)).cast("tinyint")
+    bins = lines.sparkSession.range(RARITY_BINS).select(F.col("id").cast("int").alias("bin"))
+    every = bins.join(counted.select("bin", level.alias("level")), "bin", "left")
+    levels = F.sort_array(F.collect_list(F.struct("bin", F.coalesce("level", F.lit(0).cast("tinyint")).alias("level"))))
+    return every.agg(F.transform(levels, lambda x: x["level"]).alias("levels"))
 
 
 def overlap_needed(a: Column, b: Column, percent: int) -> Column:
@@ -76,27 +88,28 @@ def bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(token, F.lit(64)).cast("int"))
 
 
-def distinct_sets(lines: DataFrame, percent: int) -> DataFrame:
-    """(set_id, set_check, first, size, bits, prefix) of every set: its first line and its rarest tokens.
+def place_in_corpus(id_: Column, line: Column) -> Column:
+    """One number that orders lines by document and line; unlike a pair of columns its least value is a hash aggregate."""
+    return (id_.cast("decimal(38,0)") * F.lit(LINES).cast("decimal(38,0)") + line.cast("decimal(38,0)")).cast("decimal(38,0)")
+
+
+def distinct_sets(lines: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
+    """(set_id, set_check, size, bits, prefix, first, n) of every set: its first line, its lines and its rarest tokens.
 
     A set of n tokens has at least ceil(percent * n / 100) in common with a similar one, so one of its first
     n - that + 1 in any common order. ``bits`` has one of 64 bits set for every token.
     """
-    # a constant of the plan, so that no row has to carry it
-    levels = F.lit(rarities(lines))
-    level = lambda t: F.ascii(F.substring(levels, rarity_bin(t) + 1, F.lit(1)).cast("string"))
     # level and part of the token's hash in one number: sorts by rarity, equal for equal tokens
-    rank = lambda t: F.shiftleft(level(t).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
-    ranked = F.sort_array(F.transform("tokens", rank))
+    rank = lambda t: F.shiftleft(F.get("levels", rarity_bin(t)).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
+    # a scalar subquery that the optimiser puts where it is used once: neither rows nor texts of plans carry the levels
+    lines = lines.select("*", levels.scalar().alias("levels"))
     n = F.size("tokens")
     least = F.ceil(percent * n / F.lit(100)).cast("int")
     bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
-    chosen = lines.select(
-        "set_id", "set_check", "id", "line", n.alias("size"), bits.alias("bits"), F.slice(ranked, F.lit(1), n - least + 1).alias("prefix")
-    )
+    prefix = F.slice(F.sort_array(F.transform("tokens", rank)), F.lit(1), n - least + 1)
+    chosen = lines.select("set_id", "set_check", n.alias("size"), bits.alias("bits"), prefix.alias("prefix"), place_in_corpus(F.col("id"), F.col("line")).alias("place"))
     # repeated lines are one row from here on, put together before the shuffle and before their tokens are rows
-    same = [F.first(c).alias(c) for c in ("size", "bits", "prefix")]
-    return chosen.groupBy("set_id", "set_check").agg(F.min(F.struct("id", "line")).alias("first"), *same)
+    return chosen.groupBy("set_id", "set_check", "size", "bits", "prefix").agg(F.min("place").alias("first"), F.count("*").alias("n"))
 
 
 def listed(sets: DataFrame, prefix: Column, *columns: str) -> DataFrame:
@@ -110,51 +123,63 @@ def may_be_similar(a: Column, b: Column, a_bits: Column, b_bits: Column, percent
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (apart <= a + b - 2 * overlap_needed(a, b, percent))
 
 
-def nearest_first_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for every set at most one other set, an earlier one of its size that has a rare token in common with it.
+def likely_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for every set at most one other set, an earlier one of its class of sizes (or the one below) that has a rare
+    token in common with it.
 
-    Of a token's sets of one size only the earliest is met, so a group of copies makes as many pairs as it has members.
+    Of a token's sets of one class only the earliest is met, so a group of copies makes as many pairs as it has members.
     """
     heads = listed(sets, F.slice("prefix", 1, HEADS), "set_id", "first", "size", "bits").drop("place")
-    met = heads.groupBy("token", "size").agg(F.min(F.struct("first", "set_id", "bits")).alias("met"), F.count("*").alias("n"))
-    met = saved(met.where("n > 1").drop("n"), "line-heads", compression="zstd")
-    found = heads.join(met, ["token", "size"]).where(F.col("first") > F.col("met.first"))
-    found = found.where(may_be_similar(F.col("size"), F.col("size"), F.col("bits"), F.col("met.bits"), percent))
+    heads = heads.withColumn("class", F.floor(F.log(F.col("size")) / F.log(F.lit(SIZE_CLASS))).cast("int"))
+    met = heads.groupBy("token", "class").agg(F.min_by(F.struct("first", "set_id", "size", "bits"), "first").alias("met"), F.count("*").alias("n"))
+    met = saved(met.select("token", "class", "met"), "line-heads", compression="zstd")
+    asking = heads.select("token", "set_id", "first", "size", "bits", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
+    found = asking.join(met, ["token", "class"]).where(F.col("first") > F.col("met.first"))
+    found = found.where(may_be_similar(F.col("size"), F.col("met.size"), F.col("bits"), F.col("met.bits"), percent))
     apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("met.bits")))
     nearest = found.groupBy("set_id").agg(F.min(F.struct(apart.alias("apart"), "met.first", "met.set_id")).alias("met"))
-    return nearest.select(F.col("met.set_id").alias("a"), F.col("set_id").alias("b"))
+    pairs = saved(nearest.select(F.col("met.set_id").alias("a"), F.col("set_id").alias("b")), "line-likely")
+    dropped(met)
+    return pairs
 
 
 def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the sets that pass all filters, but for pairs of two sets that are in ``sure``."""
-    marked = sets.drop("first").join(small_or_not(sure.withColumn("sure", F.lit(True))), ["set_id", "set_check"], "left")
-    marked = marked.withColumn("sure", F.coalesce("sure", F.lit(False)))
+    """(a, b) of the sets that pass all filters, a before b, but for pairs whose later set is in ``sure``.
+
+    A pair decides only whether its later set goes, so a settled set asks for no partner; it stays a partner of later ones.
+    """
+    marked = sets.join(sure.withColumn("sure", F.lit(True)), ["set_id", "set_check"], "left").withColumn("sure", F.coalesce("sure", F.lit(False)))
     # a table, since the two sides of a join don't share a shuffle of exploded rows
-    rows = saved(listed(marked, F.col("prefix"), "set_id", "size", "bits", "sure"), "line-prefixes", compression="zstd")
-    one, other = (rows.select("token", *[F.col(c).alias(x + c) for c in ("set_id", "size", "place", "bits", "sure")]) for x in ("a_", "b_"))
+    marked = marked.withColumns({"id": F.expr(f"first div {LINES}BD"), "line": F.expr(f"cast(first % {LINES}BD AS int)")})
+    rows = saved(listed(marked, F.col("prefix"), "set_id", "size", "bits", "id", "line", "sure"), "line-prefixes", compression="zstd")
+    one, other = (rows.select("token", *[F.col(c).alias(x + c) for c in ("set_id", "size", "place", "bits", "id", "line", "sure")]) for x in ("a_", "b_"))
     a, b = F.col("a_size"), F.col("b_size")
     rest = F.least(a - F.col("a_place"), b - F.col("b_place"))
     pairs = one.join(
         other,
         (one["token"] == other["token"])
-        & (F.col("a_set_id") < F.col("b_set_id"))
-        & ~(F.col("a_sure") & F.col("b_sure"))
+        # both sides in each condition, so that none is pushed below the shuffle that the sides share
+        & ((F.col("a_id") < F.col("b_id")) | (F.col("a_id") == F.col("b_id")) & (F.col("a_line") < F.col("b_line")))
+        & (~F.col("b_sure") | F.col("a_sure").isNull())
         & may_be_similar(a, b, F.col("a_bits"), F.col("b_bits"), percent)
         & (rest >= overlap_needed(a, b, percent)),
     )
-    return pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct()
+    pairs = saved(pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct(), "line-pairs")
+    dropped(rows)
+    return pairs
 
 
-def small_or_not(table: DataFrame) -> DataFrame:
-    """The written table, broadcast if its rows have been counted to be few."""
-    return F.broadcast(table) if table.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS else table
+def small_or_not(ids: DataFrame) -> DataFrame:
+    """The written ids (a long each), broadcast if their counted rows fit in BROADCAST_BYTES."""
+    return F.broadcast(ids) if ids.count() * 8 <= BROADCAST_BYTES else ids
 
 
 def verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(set_id, set_check) of the later sets of the written ``pairs`` (a, b) that are similar, by their whole sets."""
     wanted = saved(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "line-candidates")
-    sets = lines.join(small_or_not(wanted), "set_id", "left_semi").groupBy("set_id", "set_check")
-    sets = sets.agg(F.min(F.struct("id", "line")).alias("first"), F.min("tokens").alias("tokens"))
+    sets = lines.join(small_or_not(wanted), "set_id", "left_semi")
+    place = place_in_corpus(F.col("id"), F.col("line"))
+    sets = sets.groupBy("set_id", "set_check", "tokens").agg(F.min(place).alias("first"))
     # as many bits as four numbers have: what these let through is nearly always similar
     part = lambda k: F.filter("tokens", lambda t: F.shiftright(t, 6).bitwiseAND(WIDE - 1) == k)
     wide = [F.aggregate(part(k), F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t))).alias(f"w{k}") for k in range(WIDE)]
@@ -170,34 +195,45 @@ def verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     alike = full.where(100 * both >= percent * (F.size("a_tokens") + F.size("b_tokens") - both))
     late = lambda x: F.struct(F.col(x).alias("set_id"), F.col(f"{x}_set_check").alias("set_check"))
-    return alike.select(F.when(F.col("a_late"), late("a")).otherwise(late("b")).alias("late")).select("late.*").distinct()
+    found = alike.select(F.when(F.col("a_late"), late("a")).otherwise(late("b")).alias("late")).select("late.*").distinct()
+    found = saved(found, "line-similar")
+    dropped(wanted, sets, near)
+    return found
 
 
-def similar_sets(lines: DataFrame, percent: int) -> DataFrame:
+def similar_sets(lines: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(set_id, set_check) of the sets that an earlier first line of another set is similar to.
 
     One likely partner of every set is verified before all others: in a group of near copies this settles nearly all
-    members, and two settled sets are no candidates for each other. So a group does not make all its pairs.
+    members, and a settled set asks for no other partner. So a group does not make all its pairs.
     """
-    sets = saved(distinct_sets(lines, percent), "line-distinct", **WORD_PAGES)
-    likely = saved(nearest_first_pairs(sets, percent), "line-likely")
-    sure = saved(verified(lines, likely, percent), "line-sure")
-    others = saved(candidate_pairs(sets, sure, percent), "line-pairs")
-    return sure.union(verified(lines, others, percent)).distinct()
+    likely = likely_pairs(sets, percent)
+    sure = verified(lines, likely, percent)
+    others = candidate_pairs(sets, sure, percent)
+    late = verified(lines, others, percent)
+    found = saved(sure.union(late), "line-late")
+    dropped(likely, sure, others, late)
+    return found
 
 
-def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, id, digest, n_lines, removed) of every different document with words: ``removed`` numbers its lines from 0."""
+def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(id, digest, n_lines, removed), written, of every different document with words: ``removed`` numbers its lines from 0."""
     lines = saved(lines_of(docs.select("doc_id", "text")), "lines", **WORD_PAGES)
-    light = lines.select("doc_id", "id", "digest", "line", "set_id", "set_check")
-    firsts = light.groupBy("set_id", "set_check").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n"))
-    late = similar_sets(lines, percent).withColumn("late", F.lit(True))
-    verdicts = firsts.join(saved(late, "line-late"), ["set_id", "set_check"], "left").where("n > 1 OR late")
-    verdicts = saved(verdicts.select("set_id", "set_check", "first", F.coalesce("late", F.lit(False)).alias("late")), "line-verdicts")
+    levels = saved(rarities(lines), "line-rarities")
+    sets = saved(distinct_sets(lines, levels, percent), "line-distinct", **WORD_PAGES)
+    found = similar_sets(lines, sets, percent)
+    late = found.withColumn("late", F.lit(True))
+    verdicts = sets.select("set_id", "set_check", "first", "n").join(late, ["set_id", "set_check"], "left").where("n > 1 OR late")
+    verdicts = verdicts.select("set_id", "set_check", "first", F.coalesce("late", F.lit(False)).alias("late"))
+    light = lines.select("id", "digest", "line", "set_id", "set_check")
     judged = light.join(verdicts, ["set_id", "set_check"], "left")
-    gone = F.coalesce(F.col("late") | (F.struct("id", "line") > F.col("first")), F.lit(False))
+    place = place_in_corpus(F.col("id"), F.col("line"))
+    gone = F.coalesce(F.col("late") | (place > F.col("first")), F.lit(False))
+    # a repeated row has the same lines again
     numbers = F.array_sort(F.collect_set(F.when(gone, F.col("line"))))
-    return judged.groupBy("doc_id", "id", "digest").agg(F.count_distinct("line").alias("n_lines"), numbers.alias("removed"))
+    out = saved(judged.groupBy("id", "digest").agg(F.size(F.collect_set("line")).cast("long").alias("n_lines"), numbers.alias("removed")), "line-removals")
+    dropped(lines, levels, sets, found)
+    return out
 
 
 def line_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -211,10 +247,9 @@ def line_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeated rows keep the same lines. Lines and texts of any length are read whole; an empty table gives none; other
     columns are ignored.
     """
-    found = saved(removed_lines(docs, percent), "line-removals").drop("doc_id")
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"))
     # null ids and the largest id share a number, so the two are told apart by nothing but the text: equal texts, equal lines
-    found = found.dropDuplicates(["id", "digest"])
+    found = removed_lines(docs, percent)
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_digest(F.coalesce("text", F.lit(""))).alias("digest"))
     zero = F.lit(0).cast("long")
     return rows.join(found, ["id", "digest"], "left").select(
         "doc_id",
@@ -227,12 +262,12 @@ def line_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All columns of ``docs`` with the removed lines cut from ``text`` (and ``n_chars``, if there, counted again); documents
     that lose all lines with a word go."""
-    found = removed_lines(docs, percent).drop("doc_id").where(F.size("removed") > 0).dropDuplicates(["id", "digest"])
+    found = removed_lines(docs, percent).where(F.size("removed") > 0)
     name = "_line"
     while any(c.startswith(name) for c in docs.columns):
         name = "_" + name
-    found = saved(found.select(*[F.col(c).alias(name + c) for c in found.columns]), "line-removals")
-    same = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col(name + "id")) & (F.unhex(F.md5(F.coalesce("text", F.lit("")))) == F.col(name + "digest"))
+    found = found.select(*[F.col(c).alias(name + c) for c in found.columns])
+    same = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col(name + "id")) & (text_digest(F.coalesce("text", F.lit(""))) == F.col(name + "digest"))
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(F.col(name + "removed"), i))
     text = F.when(F.col(name + "removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     rows = docs.join(found, same, "left").where(f"{name}removed IS NULL OR size({name}removed) < {name}n_lines").withColumn("text", text)
