@@ -448,7 +448,7 @@ def parse_browser_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM t""",
 )
 def response_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ids.response_id(F.col("classification_id"), F.col("question"), F.col("response"))
+    key = ids.response_id(F.col("classification_id"), F.col("question"), F.col("response"), kind="adler32")
     return line_responses(spark, sf_dir).select("classification_id", "question", key.alias("response_id"))
 
 
