@@ -52,6 +52,17 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def within_bytes(sample: DataFrame, most_bytes: int) -> DataFrame:
+    """The rows (lot, text, ...) of a written sample of few rows whose texts, in the order of their lots, fit in ``most_bytes``."""
+    sizes = sample.groupBy("lot").agg(F.sum(F.octet_length("text")).alias("size")).orderBy("lot").collect()
+    total = 0
+    for r in sizes:
+        total += r["size"]
+        if total > most_bytes:
+            return sample.where(F.col("lot") < r["lot"])
+    return sample
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollfold.llm import decontamination, language, line_dedup, mixing, near_dedup, quality, secrets, suffix_array, suffix_trees, url_filter
+from pollfold.llm import decontamination, language, line_dedup, mixing, near_dedup, quality, secrets, spelling, suffix_array, suffix_trees, toxicity, url_filter, whitening
 from pollfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = docs.where(~toxicity.held_out(F.col("doc_id")))
+    field = toxicity.fit_toxicity(learned, table(spark, sf_dir, "labels"))
+    found = toxicity.score_toxicity(docs, field)
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
