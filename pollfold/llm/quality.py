@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,18 +10,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import add_columns, slices, text_bytes
-from pollfold.llm.numtext import BYTE_VALUE, grams, sums, word_hashes, words
+from pollfold.llm.common import add_columns, saved, text_bytes, within_bytes
+from pollfold.llm.numtext import grams, mixed, sums, word_hashes, words
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
-# labelled rows that the classifier is fitted on at most, half of them of each label
-SAMPLE_ROWS = 2_000
+# labelled rows (half of each label) and bytes of text that the classifier is fitted on at most; longer texts are not drawn
+SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_TEXT_BYTES = 2_000, 16 << 20, 1 << 18
 BITS = 17
-WORD_GRAMS, BYTE_GRAMS = (1, 2), (3, 5)
+WORD_GRAMS, CHARACTER_GRAMS = (1, 2), (3, 5)
 # rejects only what is improbable to be good
 KEEP_FROM = 0.1
 FOUND = {
@@ -50,13 +49,29 @@ def measures(text: str) -> tuple[int, int, int, int, int]:
     return len(found), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code point of every character of UTF-8 ``data``, characters before each offset)."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    code = data[lead].astype(np.uint64)
+    follow = lambda at, k: (data[np.minimum(lead[at] + k, len(data) - 1)] & 0x3F).astype(np.uint64)
+    for extra, least, bits in ((1, 0xC0, 0x1F), (2, 0xE0, 0x0F), (3, 0xF0, 0x07)):
+        at = np.flatnonzero((data[lead] >= least) & (data[lead] < (0xE0, 0xF0, 0x100)[extra - 1]))
+        value = code[at] & np.uint64(bits)
+        for k in range(1, extra + 1):
+            value = (value << np.uint64(6)) | follow(at, k)
+        code[at] = value
+    return code, np.searchsorted(lead, offsets)
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """(hashed feature of each gram, first gram of each document, grams at a document's end that reach beyond it) per kind."""
     start, end, first = words(data, offsets)
     hashed = word_hashes(data, start, end)
     shift = np.uint64(64 - BITS)
     kinds = [((grams(hashed + np.uint64(n), n) >> shift).astype(np.int64), first, n - 1) for n in WORD_GRAMS]
-    return kinds + [((grams(BYTE_VALUE[data], n) >> shift).astype(np.int64), offsets, n - 1) for n in BYTE_GRAMS]
+    code, before = characters(data, offsets)
+    spread = mixed(code + np.uint64(1))
+    return kinds + [((grams(spread, n) >> shift).astype(np.int64), before, n - 1) for n in CHARACTER_GRAMS]
 
 
 @dataclass
@@ -79,27 +94,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * logits + self.shift, -30, 30)))
 
 
-def rows_of_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        data, offsets = text_bytes(batch["text"])
-        found = features(data, offsets)
-        indices, values = [], []
-        for d in range(batch.num_rows):
-            parts = []
-            for kind, (index, first, short) in enumerate(found):
-                own = index[first[d] : max(first[d], min(first[d + 1] - short, len(index)))]
-                unique, n = np.unique(own, return_counts=True)
-                parts.append((unique + (kind << BITS), n / max(len(own), 1)))
-            indices.append(np.concatenate([p[0] for p in parts]).astype(np.int32))
-            values.append(np.concatenate([p[1] for p in parts]).astype(np.float32))
-        yield pa.RecordBatch.from_arrays(
-            [batch["good"], batch["lot"], pa.array(indices, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-            ["good", "lot", "index", "value"],
-        )
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled texts, half of each label at most, by the hash of their id."""
+def features_of(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per text the features it holds and their share among its grams of a kind."""
+    found = features(data, offsets)
+    indices, values = [], []
+    for d in range(len(offsets) - 1):
+        parts = []
+        for kind, (index, first, short) in enumerate(found):
+            own = index[first[d] : max(first[d], min(first[d + 1] - short, len(index)))]
+            unique, n = np.unique(own, return_counts=True)
+            parts.append((unique + (kind << BITS), n / max(len(own), 1)))
+        indices.append(np.concatenate([p[0] for p in parts]).astype(np.int32))
+        values.append(np.concatenate([p[1] for p in parts]).astype(np.float32))
+    return indices, values
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, most_bytes: int) -> DataFrame:
+    """(good, lot, text): at most ``rows`` labelled rows, half of each label at most, by the hash of their id, within ``most_bytes``."""
     known = (
         labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("good"))
         .where("label_id IS NOT NULL AND good IN (0, 1)")
@@ -109,15 +120,32 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     )
     parts = [known.where(F.col("good") == g).orderBy("lot", "label_id").limit(rows // 2) for g in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.octet_length("text") <= min(SAMPLE_TEXT_BYTES, most_bytes // 8)))
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("good", "lot", "text")
-    return found.orderBy("lot", "text").limit(rows)  # an id may have several rows
+    # an id may have several rows, equal ones count once
+    return within_bytes(saved(found.dropDuplicates(["lot", "text"]), "quality-sample"), most_bytes)
+
 
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, turns: int = 80, most_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """Logistic regression on four fifths of the sample; the rest calibrates (Platt), and the labels' shares give the prior.
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, turns: int = 80) -> Model | None:
-    """Logistic regression on four fifths of the sample; the rest calibrates (Platt), and the labels' shares give the prior."""
+    One task fits the sample, which ``rows`` and ``most_bytes`` bound, and returns the weights."""
     shares = {r["good"]: r["n"] for r in labels.groupBy(F.col("quality").cast("int").alias("good")).agg(F.count("*").alias("n")).where("good IN (0, 1)").collect()}
-    sample = labelled_sample(docs, labels, rows).mapInArrow(rows_of_features, "good int, lot long, index array<int>, value array<float>").toArrow()
+
+    def train(sample: pa.Table) -> pa.Table:
+        model = fitted(sample.sort_by([("lot", "ascending"), ("text", "ascending")]), shares, turns)
+        kept = [] if model is None else [model]
+        rest = pa.array([[m.bias, m.slope, m.shift] for m in kept], pa.list_(pa.float64()))
+        return pa.table({"weights": pa.array([m.weights.tobytes() for m in kept], pa.binary()), "rest": rest})
+
+    sample = labelled_sample(docs, labels, rows, most_bytes)
+    got = sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "weights binary, rest array<double>").collect()
+    if not got:
+        return None
+    return Model(np.frombuffer(bytes(got[0]["weights"]), np.float32).reshape(-1, 1 << BITS), *got[0]["rest"])
+
+
+def fitted(sample: pa.Table, shares: dict[int, int], turns: int) -> Model | None:
     good = np.asarray(sample["good"], dtype=float)
     lot = np.asarray(sample["lot"], dtype=np.int64)
     if min((good == g).sum() for g in (0, 1)) < 5:
@@ -125,8 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, turns: int
     held = lot % 5 == 0
     if min((good[held] == g).sum() for g in (0, 1)) < 2:
         held = np.arange(len(good)) % 5 == 0
-    index = [np.asarray(x.values) for x in sample["index"]]
-    value = [np.asarray(x.values) for x in sample["value"]]
+    index, value = features_of(*text_bytes(sample["text"].combine_chunks()))
 
     def gathered(which: np.ndarray):
         chosen = np.flatnonzero(which)
@@ -134,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, turns: int
         join = lambda x, t: np.concatenate([x[i] for i in chosen]) if len(chosen) else np.zeros(0, t)
         return at, join(index, np.int32), join(value, np.float32)
 
-    size = (len(WORD_GRAMS) + len(BYTE_GRAMS)) << BITS
+    size = (len(WORD_GRAMS) + len(CHARACTER_GRAMS)) << BITS
     weights, bias = np.zeros(size), 0.0
     mean, square, bias_mean, bias_square = np.zeros(size), np.zeros(size), 0.0, 0.0
     at, columns, amounts = gathered(~held)
