@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import NO_ID, saved, slices, text_bytes
+from pollfold.llm.common import NO_ID, dropped, saved, slices, text_bytes
 from pollfold.llm.numtext import BYTE_VALUE, grams, word_hashes, words
 
 PLACE_BITS = 28
@@ -52,6 +52,13 @@ class Passages:
         start, end, first = words(data, offsets)
         return word_hashes(data, start, end), start, end, first
 
+    def numbered(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers from 1 on, equal for equal symbols, first symbol of each document)."""
+        if self.of_words:
+            values, _, _, first = self.symbols(data, offsets)
+            return np.unique(values, return_inverse=True)[1] + 1, first
+        return np.cumsum(np.bincount(data, minlength=256) > 0)[data], offsets
+
     def anchored(self, values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document, first window, last window, place of the anchor, its hash) of every segment."""
         none = np.zeros(0, np.int64)
@@ -179,26 +186,28 @@ def repeated_windows(kind: Passages):
     def judged(rows: pa.Table) -> pa.RecordBatch:
         rows = rows.combine_chunks()
         seg = rows["seg"].combine_chunks() if isinstance(rows["seg"], pa.ChunkedArray) else rows["seg"]
-        values, _, _, first = kind.symbols(*text_bytes(seg))
+        number, first = kind.numbered(*text_bytes(seg))
         size = np.diff(first)
-        # one separator after each segment; numbers of symbols from 1 on
-        _, number = np.unique(values, return_inverse=True)
-        text = np.zeros(len(values) + len(size), np.int64)
+        # one separator after each segment
+        text = np.zeros(len(number) + len(size), np.int64)
         own = np.repeat(np.arange(len(size)), size)
-        text[np.arange(len(values)) + own] = number + 1
+        text[np.arange(len(number)) + own] = number
         n = size - kind.length + 1
         row = np.repeat(np.arange(len(n)), n)
         shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         group = kind.classes(text, kind.length)[first[:-1][row] + row + shift]
-        ids, pos = np.asarray(rows["id"], np.int64)[row], np.asarray(rows["pos"], np.int64)[row] + shift
-        order = np.lexsort((pos, ids, group))
-        head = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0])) if len(order) else np.zeros(0, np.int64)
-        earliest = np.zeros(len(order), np.int64)
-        earliest[order] = np.repeat(order[head], np.diff(np.concatenate([head, [len(order)]])))
-        earlier = ids[earliest] < ids
+        again = np.flatnonzero(group >= 0)
+        again = again[np.argsort(group[again])]
+        ids, pos = np.asarray(rows["id"], np.int64)[row[again]], np.asarray(rows["pos"], np.int64)[row[again]] + shift[again]
+        head = np.flatnonzero(np.concatenate([[True], np.diff(group[again]) != 0])) if len(again) else np.zeros(0, np.int64)
+        times = np.diff(np.append(head, len(again)))
+        least_id = np.repeat(np.minimum.reduceat(ids, head), times) if len(head) else ids
+        earlier = least_id < ids
         if kind.same_document:
-            earlier |= (ids[earliest] == ids) & (pos[earliest] < pos)
-        hit = np.flatnonzero(earlier & (group >= 0))
+            own_pos = np.where(ids == least_id, pos, np.iinfo(np.int64).max)
+            least_pos = np.repeat(np.minimum.reduceat(own_pos, head), times) if len(head) else pos
+            earlier |= least_pos < np.where(ids == least_id, pos, -1)
+        hit = np.sort(again[earlier])
         cut = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(row[hit]) != 0)]) if len(hit) else np.zeros(0, bool)
         begin, stop = hit[cut], hit[np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(hit) - 1]])] if len(hit) else hit
         found, count = np.unique(row[begin], return_counts=True)
@@ -225,12 +234,16 @@ def repeated_windows(kind: Passages):
     return run
 
 
-def removed_windows(kind: Passages, found: DataFrame, owner: list[str], low: int, high: int) -> DataFrame:
-    """(owner, pos, ranges): per row of ``found`` (owner, id, key, place, seg, pos) the windows that also start earlier."""
-    seg_id = F.unhex(F.md5(F.concat_ws(":", F.col("key"), F.col("place"), F.hex("seg"))))
+def removed_windows(kind: Passages, found: DataFrame, owner: list[str], low: int, high: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(owner, pos, ranges), and the tables that these rows are read from: per row of ``found`` (owner, id, key, place, seg, pos)
+    the windows that also start earlier."""
+    seg_id = F.unhex(F.md5(F.concat(F.concat_ws(":", F.col("key"), F.col("place"), F.lit("")).cast("binary"), F.col("seg"))))
+    # written once, as the segments are cut from the texts only here
+    found = found.select(*owner, "id", "key", "place", "seg", "pos", seg_id.alias("seg_id"), windows_in(kind, F.col("seg")).alias("size"))
+    found = saved(found, "segment-rows", compression="zstd")
     first = F.min(F.struct("id", "pos")).alias("first")
-    unique = found.groupBy("key", "place", "seg").agg(first, F.count("*").alias("n")).withColumn("seg_id", seg_id)
-    unique = saved(unique.select("seg_id", "key", "place", "seg", F.col("first.id").alias("id"), F.col("first.pos").alias("pos"), "n"), "segments")
+    unique = found.groupBy("seg_id", "key", "place", "seg").agg(first, F.count("*").alias("n"))
+    unique = saved(unique.select("seg_id", "key", "place", "seg", F.col("first.id").alias("id"), F.col("first.pos").alias("pos"), "n"), "segments", compression="zstd")
     sizes = saved(unique.groupBy("key").agg(F.count("*").alias("in_group")).where("in_group > 1"), "segment-groups")
     rows = unique.join(sizes, "key")
     small = rows.where(F.col("in_group") <= GROUP_SEGMENTS).select("seg_id", "key", "seg", "id", "pos")
@@ -243,21 +256,25 @@ def removed_windows(kind: Passages, found: DataFrame, owner: list[str], low: int
             halved(kind, low, high), "parent binary, id long, key long, place int, seg binary, pos int, shift int, lower boolean"
         )
         middle = (low + high) // 2
+        every, read = ranged, [large, ranged]
         for lower, lo, hi in ((True, low, middle), (False, middle + 1, high)):
-            deeper = removed_windows(kind, parts.where(F.col("lower") == lower), ["parent", "shift"], lo, hi)
+            deeper, tables = removed_windows(kind, parts.where(F.col("lower") == lower), ["parent", "shift"], lo, hi)
             moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("shift")).alias("a"), (r["b"] + F.col("shift")).alias("b")))
-            ranged = ranged.unionByName(deeper.select(F.col("parent").alias("seg_id"), moved.alias("ranges")))
-        ranged = saved(ranged.groupBy("seg_id").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "segment-ranges")
+            every = every.unionByName(deeper.select(F.col("parent").alias("seg_id"), moved.alias("ranges")))
+            read += tables
+        ranged = saved(every.groupBy("seg_id").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "segment-ranges")
+        dropped(*read)
     # segments that occur once and have no earlier window need no more care
     verdicts = unique.join(ranged, "seg_id", "left").where("n > 1 OR ranges IS NOT NULL")
     verdicts = saved(verdicts.select("seg_id", F.col("id").alias("id0"), F.col("pos").alias("pos0"), "ranges"), "segment-verdicts")
-    size = windows_in(kind, F.col("seg"))
-    light = found.select(*owner, "id", "pos", seg_id.alias("seg_id"), size.alias("size"))
+    dropped(unique, sizes, ranged)
+    light = found.select(*owner, "id", "pos", "seg_id", "size")
     later = F.col("id") > F.col("id0")
     if kind.same_document:
         later = later | ((F.col("id") == F.col("id0")) & (F.col("pos") > F.col("pos0")))
-    every = F.array(F.struct(F.lit(0).alias("a"), (F.col("size") - 1).cast("int").alias("b")))
-    return light.join(verdicts, "seg_id").select(*owner, "pos", F.when(later, every).otherwise(F.col("ranges")).alias("ranges")).where("ranges IS NOT NULL")
+    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("size") - 1).cast("int").alias("b")))
+    gone = light.join(verdicts, "seg_id").select(*owner, "pos", F.when(later, whole).otherwise(F.col("ranges")).alias("ranges"))
+    return gone.where("ranges IS NOT NULL"), [found, verdicts]
 
 
 def windows_in(kind: Passages, seg: Column) -> Column:
@@ -308,14 +325,17 @@ def without_repeats(kind: Passages, docs: DataFrame) -> DataFrame:
     texts = rows.join(listed, ["node", "digest"]).where(F.col("id") == F.col("first")).select("digest", "id", "text", "hashes")
     texts = saved(texts, "passage-texts")
     occurrences = texts.mapInArrow(segments(kind), "digest binary, id long, key long, place int, seg binary, pos int")
-    gone = removed_windows(kind, occurrences, ["digest"], 0, kind.places - 1)
+    dropped(often, listed)
+    gone, read = removed_windows(kind, occurrences, ["digest"], 0, kind.places - 1)
     moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("pos")).alias("a"), (r["b"] + F.col("pos")).alias("b")))
     gone = gone.select("digest", moved.alias("ranges")).groupBy("digest").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     cut = texts.select("digest", "text").join(gone, "digest").mapInArrow(
         covered(kind), "digest binary, n_removed long, n_spans long, kept_sha256 string"
     )
     cut = saved(cut.dropDuplicates(["digest"]), "passage-cuts")
+    dropped(texts, *read)
     decided = saved(firsts.select("digest", "first").join(cut, "digest", "left"), "passage-decisions")
+    dropped(firsts, cut)
     copy = F.col("id") > F.col("first")
     nothing = F.lit("e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855")  # sha256 of no bytes
     zero = F.lit(0).cast("long")

@@ -12,55 +12,76 @@ CORE_BYTES = 20
 
 
 def sorted_suffixes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places in the order of their next ``depth`` symbols, place in that order of every place), by doubling."""
-    rank, known = text.astype(np.int64), 1
+    """(places in the order of their next ``depth`` symbols at least, rank of every place: equal where these are), by doubling.
+
+    The first step sorts as many symbols as fit in one number."""
+    n = len(text)
+    width = max(int(text.max(initial=0)).bit_length(), 1)
+    known = max(1, min(62 // width, depth))
+    padded = np.concatenate([text, np.zeros(known, np.int64)]).astype(np.int64)
+    key = padded[:n].copy()
+    for k in range(1, known):
+        key = (key << width) | padded[k : n + k]
     while True:
-        far = np.zeros(len(rank), np.int64)
-        far[: max(len(rank) - known, 0)] = rank[known:] + 1
-        key = rank * (len(rank) + int(text.max(initial=0)) + 2) + far
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
-        rank = np.empty(len(rank), np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(np.diff(ordered) != 0)]) if len(ordered) else ordered
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([np.zeros(min(n, 1), np.int64), np.cumsum(np.diff(ordered) != 0)])
+        if known >= depth or not n or rank[order[-1]] == n - 1:
+            return order, rank
+        far = np.zeros(n, np.int64)
+        far[: max(n - known, 0)] = rank[known:] + 1
+        key = rank * (n + 2) + far
         known *= 2
-        if known >= depth:
-            break
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return order, place
 
 
 def common_prefixes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix order, ``known``): length of the common prefix with the suffix before where it is below ``least``, else -1.
 
-    Starts with the interval of all suffixes. A step prepends every symbol that the transform has in an interval, breadth
+    Starts with the interval of every symbol. A step prepends every symbol that the transform has in an interval, breadth
     first, so the strings of all intervals have the same length and common prefixes come out by increasing value: the
     right end of a new interval is where suffixes stop sharing its string. An interval whose right end is known already
     is not extended (Beller et al. 2013). Symbol 0 separates texts; nothing is prepended beyond it.
+
+    A symbol's last row in an interval is one whose next row of that symbol lies beyond the interval; its first row is
+    found among the symbol's rows. Both lead to the ends of the new interval, so rows of an interval are looked at
+    but not sorted. Suffixes that agree beyond ``least`` symbols are one run, in any order inside.
     """
     text = np.append(text, 0)  # read in a circle, every suffix has a symbol before it
-    order, place = sorted_suffixes(text, least + 1)
+    order, rank = sorted_suffixes(text, least + 1)
     n = len(text)
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    start = np.flatnonzero(np.concatenate([[True], np.diff(rank[order]) != 0]))
     before = text[order - 1]
-    back = place[order - 1]
+    run_of = rank[order - 1]
+    low_after, high_after = start[run_of], np.append(start[1:], n)[run_of]
+    by_symbol = np.argsort(before, kind="stable")
+    grouped = before[by_symbol]
+    same = grouped[1:] == grouped[:-1]
+    next_same = np.full(n, n, np.int64)
+    next_same[by_symbol[:-1][same]] = by_symbol[1:][same]
+    listed = grouped * (n + 1) + by_symbol
     known = np.full(n + 1, -1, np.int64)
-    low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
-    for length in range(least):
+    edge = np.flatnonzero(~same) + 1
+    low, high = np.concatenate([[0], edge]), np.concatenate([edge, [n]])
+    known[high] = 0
+    for length in range(1, least):
         size = high - low
-        rows = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-        owner = np.repeat(np.arange(len(low)), size)
-        if length:
-            inner = before[rows] > 0
-            rows, owner = rows[inner], owner[inner]
+        many = size > 1
+        begin, end, wide = low[many], high[many], size[many]
+        rows = np.arange(wide.sum()) + np.repeat(begin - np.cumsum(wide) + wide, wide)
+        last = next_same[rows] >= np.repeat(end, wide)
+        rows, begin = rows[last], np.repeat(begin, wide)[last]
+        first = by_symbol[np.searchsorted(listed, before[rows] * (n + 1) + begin)]
+        rows, first = np.concatenate([rows, low[~many]]), np.concatenate([first, low[~many]])
+        inner = before[rows] > 0
+        rows, first = rows[inner], first[inner]
         if not len(rows):
             break
-        to = back[rows]
-        sort = np.argsort(to, kind="stable")
-        to, owner, symbol = to[sort], owner[sort], before[rows][sort]
-        new = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(symbol) != 0)])
-        low, high = to[new], to[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(to) - 1]])] + 1
-        fresh = known[high] < 0
-        low, high = low[fresh], high[fresh]
+        stop = high_after[rows]
+        fresh = known[stop] < 0
+        low, high = low_after[first[fresh]], stop[fresh]
         known[high] = length
     return order, known[:n]
 
