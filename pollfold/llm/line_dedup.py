@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,18 +30,14 @@ OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^\x00-\x7F]]"
 
 
 def plain(line: Column) -> Column:
-    """A-Z lower-cased and every space that ends a word made a blank."""
-    # the general lower() is the faster one, and the same where it meets no capital beyond ASCII
-    ascii_only = F.octet_length(line) == F.length(line)
-    lowered = F.when(ascii_only, F.lower(line)).when(line.rlike(OTHER_CAPITALS), ascii_lower(line)).otherwise(F.lower(line))
-    spaced = reduce(or_, [F.contains(line, F.lit(s)) for s in OTHER_SPACES])
-    return F.when(spaced, F.translate(lowered, OTHER_SPACES, " " * len(OTHER_SPACES))).otherwise(lowered)
+    """A-Z lower-cased, for lines of texts that hold capitals beyond ASCII, which lower() would change too."""
+    return F.when(line.rlike(OTHER_CAPITALS), ascii_lower(line)).otherwise(F.lower(line))
 
 
 def tokens_of(line: Column) -> Column:
-    """Hashes of the distinct words of a plain line, in the order of the hashes."""
+    """Hashes of the distinct words of a plain line."""
     hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
 def text_digest(text: Column) -> Column:
@@ -53,15 +46,23 @@ def text_digest(text: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, digest, line, tokens, set_id, set_check) of every line with a word."""
+    """(id, digest, line, words, set_id, set_check) of every line with a word: its plain text and two hashes of that.
+
+    Lines of equal plain text are one set from here on. Lines of equal words in another order are different sets that are
+    found to be similar like others.
+    """
     text = F.coalesce("text", F.lit(""))
-    # the digest before the lines: beside a generator it would be made again from the whole text for every line
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text.alias("text"), text_digest(text).alias("digest"))
-    rows = rows.select("doc_id", "id", "digest", F.posexplode(F.split("text", "\n", -1)).alias("line", "words"))
-    # as the one row of a generator the tokens are made once, not again in every expression that uses them
-    once = F.explode(F.array(tokens_of(plain(F.col("words"))))).alias("tokens")
-    rows = rows.select("doc_id", "id", "digest", "line", once).where(F.size("tokens") > 0)
-    return rows.withColumns({"set_id": F.xxhash64("tokens"), "set_check": F.xxhash64(F.lit(1), "tokens")})
+    # whatever is made of whole texts comes before the lines: beside a generator it would be made again for every line
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text.alias("text"), text_digest(text).alias("digest"))
+    # most texts are lowered whole, as that is faster; every space that ends a word, but for line feeds, becomes a blank
+    rows = rows.withColumn("odd", (F.octet_length("text") != F.length("text")) & F.col("text").rlike(OTHER_CAPITALS))
+    lowered = F.when(F.col("odd"), F.col("text")).otherwise(F.lower("text"))
+    spaced = F.when(F.col("text").rlike(f"[{OTHER_SPACES}]"), F.translate(lowered, OTHER_SPACES, " " * len(OTHER_SPACES))).otherwise(lowered)
+    rows = rows.select("id", "digest", "odd", spaced.alias("text"))
+    rows = rows.select("id", "digest", "odd", F.posexplode(F.split("text", "\n", -1)).alias("line", "raw"))
+    words = F.when(F.col("odd"), plain(F.col("raw"))).otherwise(F.col("raw"))
+    rows = rows.where(F.trim("raw") != "").select("id", "digest", "line", words.alias("words"))
+    return rows.withColumns({"set_id": F.xxhash64("words"), "set_check": F.xxhash64(F.lit(1), "words")})
 
 
 def rarity_bin(token: Column) -> Column:
@@ -71,7 +72,8 @@ def rarity_bin(token: Column) -> Column:
 
 def rarities(lines: DataFrame) -> DataFrame:
     """(levels): one row with the level of the token count of every bin, on a scale of logarithms, of the same size for any table."""
-    counted = lines.select(F.explode("tokens").alias("t")).groupBy(rarity_bin(F.col("t")).alias("bin")).agg(F.count("*").alias("n"))
+    words = lines.select(F.explode(F.split("words", " ")).alias("w")).where("w != ''")
+    counted = words.select(F.xxhash64("w").alias("t")).groupBy(rarity_bin(F.col("t")).alias("bin")).agg(F.count("*").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n")) * LEVELS) + 1, F.lit(127)).cast("tinyint")
     bins = lines.sparkSession.range(RARITY_BINS).select(F.col("id").cast("int").alias("bin"))
     every = bins.join(counted.select("bin", level.alias("level")), "bin", "left")
@@ -88,6 +90,12 @@ def bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(token, F.lit(64)).cast("int"))
 
 
+def sketch(tokens: Column) -> Column:
+    """64 bits, each the parity of the tokens that fall on it. A token that only one of two sets has changes one bit, so the
+    sketches differ in no more bits than the sets in tokens; unlike bits that are only set, they do not fill up."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(bit(t)))
+
+
 def place_in_corpus(id_: Column, line: Column) -> Column:
     """One number that orders lines by document and line; unlike a pair of columns its least value is a hash aggregate."""
     return (id_.cast("decimal(38,0)") * F.lit(LINES).cast("decimal(38,0)") + line.cast("decimal(38,0)")).cast("decimal(38,0)")
@@ -97,17 +105,20 @@ def distinct_sets(lines: DataFrame, levels: DataFrame, percent: int) -> DataFram
     """(set_id, set_check, size, bits, prefix, first, n) of every set: its first line, its lines and its rarest tokens.
 
     A set of n tokens has at least ceil(percent * n / 100) in common with a similar one, so one of its first
-    n - that + 1 in any common order. ``bits`` has one of 64 bits set for every token.
+    n - that + 1 in any common order. ``bits`` is the set's sketch.
     """
     # level and part of the token's hash in one number: sorts by rarity, equal for equal tokens
     rank = lambda t: F.shiftleft(F.get("levels", rarity_bin(t)).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
+    # as the one row of a generator the tokens are made once, not again in every expression that uses them
+    place = place_in_corpus(F.col("id"), F.col("line")).alias("place")
+    lines = lines.select("set_id", "set_check", place, F.explode(F.array(tokens_of(F.col("words")))).alias("tokens"))
     # a scalar subquery that the optimiser puts where it is used once: neither rows nor texts of plans carry the levels
     lines = lines.select("*", levels.scalar().alias("levels"))
     n = F.size("tokens")
     least = F.ceil(percent * n / F.lit(100)).cast("int")
-    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
+    bits = sketch(F.col("tokens"))
     prefix = F.slice(F.sort_array(F.transform("tokens", rank)), F.lit(1), n - least + 1)
-    chosen = lines.select("set_id", "set_check", n.alias("size"), bits.alias("bits"), prefix.alias("prefix"), place_in_corpus(F.col("id"), F.col("line")).alias("place"))
+    chosen = lines.select("set_id", "set_check", n.alias("size"), bits.alias("bits"), prefix.alias("prefix"), "place")
     # repeated lines are one row from here on, put together before the shuffle and before their tokens are rows
     return chosen.groupBy("set_id", "set_check", "size", "bits", "prefix").agg(F.min("place").alias("first"), F.count("*").alias("n"))
 
@@ -179,10 +190,11 @@ def verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     wanted = saved(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "line-candidates")
     sets = lines.join(small_or_not(wanted), "set_id", "left_semi")
     place = place_in_corpus(F.col("id"), F.col("line"))
-    sets = sets.groupBy("set_id", "set_check", "tokens").agg(F.min(place).alias("first"))
+    sets = sets.groupBy("set_id", "set_check", "words").agg(F.min(place).alias("first"))
+    sets = sets.select("set_id", "set_check", "first", F.explode(F.array(tokens_of(F.col("words")))).alias("tokens"))
     # as many bits as four numbers have: what these let through is nearly always similar
     part = lambda k: F.filter("tokens", lambda t: F.shiftright(t, 6).bitwiseAND(WIDE - 1) == k)
-    wide = [F.aggregate(part(k), F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t))).alias(f"w{k}") for k in range(WIDE)]
+    wide = [sketch(part(k)).alias(f"w{k}") for k in range(WIDE)]
     sets = saved(sets.select("set_id", "set_check", "first", F.size("tokens").alias("size"), *wide, "tokens"), "line-sets", **WORD_PAGES)
     side = lambda x, *names: sets.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in names])
     light = ("set_check", "first", "size", *[f"w{k}" for k in range(WIDE)])
@@ -218,7 +230,7 @@ def similar_sets(lines: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, digest, n_lines, removed), written, of every different document with words: ``removed`` numbers its lines from 0."""
-    lines = saved(lines_of(docs.select("doc_id", "text")), "lines", **WORD_PAGES)
+    lines = saved(lines_of(docs.select("doc_id", "text")), "lines", compression="zstd")
     levels = saved(rarities(lines), "line-rarities")
     sets = saved(distinct_sets(lines, levels, percent), "line-distinct", **WORD_PAGES)
     found = similar_sets(lines, sets, percent)
