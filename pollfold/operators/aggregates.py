@@ -18,6 +18,9 @@ from pollfold.sources.storage import cut_lineage
 
 HISTOGRAM_STEP = 1 << 14
 
+# columns that a table may get from the values in its rows
+MAX_COLUMNS = 2_000
+
 
 def frequency(df: DataFrame, column: str, with_nulls: bool = False, count: str = "n") -> DataFrame:
     """Rows per value, nulls left out unless asked for."""
@@ -39,6 +42,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(c(column)).dropna().distinct()
 
 
+def named_values(values: DataFrame, column: str, most: int = MAX_COLUMNS) -> list[str]:
+    """The values of a one-column table, sorted, to name columns by; more than ``most`` are an error, never cut."""
+    found = [row[column] for row in values.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values of {column} to make columns of; use a long or a map form, or give a list")
+    return sorted(found)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order``.
 

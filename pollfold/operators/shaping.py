@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +14,10 @@ from pollfold.dictionary import QuestionSet
 from pollfold.functions.columns import c
 from pollfold.functions.text import is_blank
 from pollfold.functions.times import to_utc
+from pollfold.operators.aggregates import value_at_rank
+
+# lots are whole numbers below this, exact as doubles
+LOTS = 1 << 52
 
 
 # --- projections ---
@@ -163,8 +170,46 @@ def without_empty_columns(df: DataFrame) -> DataFrame:
     return keep(df, [name for name in df.columns if filled[name]])
 
 
-def random_sample(df: DataFrame, fraction: float, replacement: bool = False, seed: int | None = None) -> DataFrame:
-    return df.sample(withReplacement=replacement, fraction=fraction, seed=seed)
+def lot(keys: Sequence[str], seed: int) -> Column:
+    """A whole number below 2**52 drawn by the keys' text and the seed: the same on any cluster, in any order of rows."""
+    parts = [F.coalesce(c(k).cast("string"), F.lit("null")) for k in keys]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)), 1, 13), 16, 10).cast("bigint")
+
+
+def random_sample(
+    df: DataFrame, fraction: float, replacement: bool = False, seed: int = 0, keys: Sequence[str] | None = None
+) -> DataFrame:
+    """About ``fraction`` of the rows; with ``replacement`` each row comes as often as a Poisson number of that mean says.
+
+    What is drawn depends on the keys (all columns where none are given) and the seed alone, so a rerun, another
+    partitioning or a lost executor gives the same rows. Rows with equal keys are drawn alike.
+    """
+    share = lot(keys or df.columns, seed) / F.lit(float(LOTS))
+    if not replacement:
+        return df.where(share < F.lit(float(fraction)))
+    copies = reduce(add, [(share >= F.lit(x)).cast("int") for x in poisson_steps(fraction)])
+    return df.select("*", F.explode(F.array_repeat(F.lit(True), copies)).alias("__copy")).drop("__copy")
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """Chances of at most 0, 1, 2, ... events, as far as they differ from 1."""
+    steps, term, total = [], math.exp(-mean), 0.0
+    while (total := total + term) < 1.0 and (len(steps) < mean or term > 1e-17):
+        steps.append(total)
+        term *= mean / len(steps)
+    return steps
+
+
+def sample_rows(df: DataFrame, n: int, seed: int = 0, keys: Sequence[str] | None = None) -> DataFrame:
+    """``n`` rows without replacement, those of the lowest lots; rows whose keys equal the last one's come along.
+
+    The lot at that rank is found first by histograms, so that no task holds or sorts the sample."""
+    if n <= 0:
+        return df.limit(0)
+    drawn = df.select(lot(keys or df.columns, seed).alias("lot"))
+    if drawn.count() <= n:
+        return df
+    return df.where(lot(keys or df.columns, seed) <= F.lit(value_at_rank(drawn, "lot", n - 1)))
 
 
 def with_timestamp(df: DataFrame, column: str = "created_at") -> DataFrame:

@@ -63,8 +63,23 @@ def reduce_responses(
     if isinstance(drop_people, DataFrame) or drop_people:
         rows = remove_people(rows, drop_people, person)
     masks = classification_masks(rows, dictionary, [key, classification], question, response)
-    words = [f"mask_{w}" for w in range(dictionary.mask_words)]
-    paths = masks.groupBy(c(key), *words).agg(F.count(F.lit(1)).alias("__n"))
+    return reduce_paths(count_paths(masks, dictionary, key), dictionary, key, null_fraction)
+
+
+def count_paths(masks: DataFrame, dictionary: QuestionSet, key: str = "subject_id") -> DataFrame:
+    """(key, mask words, __n): how many classifications of a subject took each path through the decision tree.
+
+    Such tables of disjoint sets of classifications add up, so they are the state that an incremental reduction keeps."""
+    return masks.groupBy(c(key), *mask_columns(dictionary)).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def mask_columns(dictionary: QuestionSet) -> list[str]:
+    return [f"mask_{w}" for w in range(dictionary.mask_words)]
+
+
+def reduce_paths(paths: DataFrame, dictionary: QuestionSet, key: str = "subject_id", null_fraction: bool = False) -> DataFrame:
+    """The wide table of path counts, which may come in several rows per path."""
+    words = mask_columns(dictionary)
     by_subject = paths.repartition(c(key))
     counts = by_subject.groupBy(c(key)).agg(
         *[F.expr(f"sum(__n * {dictionary.bit_sql(name, words)}) AS {quoted(name)}") for name in dictionary.count_columns]

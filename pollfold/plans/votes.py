@@ -12,6 +12,7 @@ from pollfold.dictionary import QuestionSet
 from pollfold.functions.columns import c, quoted
 from pollfold.functions.votes import one_hot
 from pollfold.operators.checks import assert_same_vocabulary
+from pollfold.operators.joins import remove_ids
 from pollfold.operators.sets import stack
 from pollfold.operators.shaping import rename_raw_counts
 from pollfold.plans.reduce import classification_masks
@@ -56,17 +57,20 @@ def remove_rare_answers(
     """
     names = dictionary.raw_question_names
     combos = cut_lineage(coded.groupBy(*[c(n) for n in names]).agg(F.count(F.lit(1)).alias("__n")))
+    answers_of = lambda left, name: left.filter(c(name).isNotNull()).groupBy(c(name).alias(name)).agg(F.sum("__n").alias("__sum"))
+    if all_rare:
+        # rare answers may be many, so they stay a table; all questions are judged by the full count
+        whole = combos.agg(F.sum("__n")).first()[0] or 0
+        kept = coded
+        for name in names:
+            kept = remove_ids(kept, answers_of(combos, name).filter(F.col("__sum") < whole * min_share), name)
+        return kept
     removed: list[tuple[str, str]] = []
-    whole = combos.agg(F.sum("__n")).first()[0] or 0
     for name in names:
-        left = combos if all_rare else _without(combos, removed)
-        answers = left.filter(c(name).isNotNull()).groupBy(c(name).alias("answer")).agg(F.sum("__n").alias("n"))
-        if all_rare:
-            found = answers.filter(F.col("n") < whole * min_share).collect()
-        else:
-            rows = left.agg(F.sum("__n")).first()[0] or 0
-            found = answers.orderBy("n", "answer").limit(1).filter(F.col("n") < rows * min_share).collect()
-        removed += [(name, row["answer"]) for row in found]
+        left = _without(combos, removed)
+        rows = left.agg(F.sum("__n")).first()[0] or 0
+        found = answers_of(left, name).orderBy("__sum", c(name)).limit(1).filter(F.col("__sum") < rows * min_share).collect()
+        removed += [(name, row[name]) for row in found]
     return _without(coded, removed)
 
 

@@ -16,7 +16,7 @@ from pollfold.plans.flatten import explode_annotations, flatten
 from pollfold.plans.predict import predict, votes_to_predictions
 from pollfold.plans.publish import attach_catalog, compare_surveys, publish_catalog, with_sky_split
 from pollfold.plans.quality import QualityRule, quality_report, unreliable_volunteers, without_early_test_votes, without_unreliable
-from pollfold.plans.rare import chosen_features, feature_counts, with_feature_fractions
+from pollfold.plans.rare import chosen_features, feature_counts, feature_maps, feature_shares, feature_table, with_feature_fractions
 from pollfold.plans.reduce import reduce_responses, reduce_votes
 from pollfold.plans.report import activity_report
 from pollfold.plans.subjects import current_subjects, subjects_from_export, subjects_from_raw
@@ -329,7 +329,7 @@ def filter_then_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rare_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.when(F.col("l_linestatus") == "F", F.lit('["Ring","![x](y) Lens or Arc"]')).otherwise(F.lit('["Ring"]'))
     rows = dealt(table(spark, sf_dir, "lineitem")).select(F.col("l_partkey").alias("subject_id"), listed.alias("value"))
-    counts = feature_counts(chosen_features(rows, "subject_id"), "subject_id")
+    counts = feature_counts(chosen_features(rows, "subject_id"), "subject_id", ["ring", "lens_or_arc"])
     reduced = reduce_responses(line_responses(spark, sf_dir), FLAGS)
     merged = with_feature_fractions(reduced, counts, "subject_id", "return-flag_total-votes")
     ranked = by_fraction(merged, "lens_or_arc_fraction", "return-flag_total-votes", 4, ["subject_id"])
@@ -337,6 +337,40 @@ def rare_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ranked.select("subject_id", c("return-flag_total-votes").alias("votes"), *names))
 
 
+# as many features as there are suppliers, one of them on every line
+_OPEN_SQL = """open AS (
+  SELECT l_partkey AS subject_id, 'odd_' || l_suppkey AS feature, count(*) AS n FROM lineitem GROUP BY ALL
+  UNION ALL SELECT l_partkey, 'ring', count(*) FROM lineitem GROUP BY ALL)"""
+
+
+def _open_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = F.concat(F.lit('["Ring","Odd '), F.col("l_suppkey").cast("string"), F.lit('"]'))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("subject_id"), listed.alias("value"))
+    return feature_table(chosen_features(rows, "subject_id"), "subject_id")
+
+
+@query(
+    "rare_feature_maps",
+    f"""WITH {_OPEN_SQL} SELECT subject_id, count(*) AS features,
+    string_agg(feature || ':' || n, ',' ORDER BY feature) AS listed FROM open GROUP BY subject_id""",
+)
+def rare_feature_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An open vocabulary, sparse: no column is named by a value."""
+    maps = feature_maps(_open_features(spark, sf_dir), "subject_id")
+    entries = F.transform(F.sort_array(F.map_entries("features")), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    return maps.select("subject_id", F.size("features").cast("bigint").alias("features"), F.array_join(entries, ",").alias("listed"))
+
+
+@query(
+    "rare_feature_shares",
+    f"""WITH {LINE_RESPONSES_SQL}, reduced AS ({_reduced_sql('subject_id', {'return-flag': _FLAG_ANSWERS['return-flag']})}), {_OPEN_SQL}
+    SELECT subject_id, feature, n, round(n / "return-flag_total-votes", 6) AS fraction FROM open JOIN reduced USING (subject_id)""",
+)
+def rare_feature_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reduced = reduce_responses(line_responses(spark, sf_dir), FLAGS)
+    return rounded(feature_shares(reduced, _open_features(spark, sf_dir), "subject_id", "return-flag_total-votes"))
+
+
 @query(
     "derive_labels",
     f"""SELECT {CLASSIFICATION_SQL} AS classification_id, CAST(l_suppkey % 25 % 5 AS VARCHAR) AS workflow_id,

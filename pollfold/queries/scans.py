@@ -18,7 +18,8 @@ from pollfold.queries.tables import (
     text_time,
     version_records,
 )
-from pollfold.sources import readers, writers
+from pollfold.functions.jsons import ANNOTATION_TEXT
+from pollfold.sources import chunks, readers, rejects, writers
 from pollfold.sources.storage import scratch_path
 
 _EVENT_SQL = """SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at,
@@ -163,6 +164,50 @@ def chunk_first_and_last_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.groupBy("kind").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
 
 
+_CHUNK = 500
+
+
+def _chunk_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events as one file per run of ids."""
+    folder = scratch_path(spark, "chunks")
+    records = _event_records(spark, sf_dir).withColumn("run", F.floor(F.col("id").cast("bigint") / _CHUNK))
+    records.repartition("run").write.partitionBy("run").json(folder)
+    return folder
+
+
+@query(
+    "chunk_catalogue",
+    f"""SELECT min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS records
+    FROM events GROUP BY event_id // {_CHUNK}""",
+)
+def chunk_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per chunk file, from the stored index."""
+    folder, index = _chunk_files(spark, sf_dir), scratch_path(spark, "index")
+    chunks.update_index(spark, folder, index, "part", schema=_EVENT_SCHEMA)
+    chunks.update_index(spark, folder, index, "part", schema=_EVENT_SCHEMA)  # nothing new, nothing twice
+    return chunks.read_index(spark, index).select("first_id", "last_id", "records")
+
+
+@query("chunk_records", f"SELECT CAST(event_id AS VARCHAR) AS id, event_id // {_CHUNK} AS run FROM events")
+def chunk_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of raw chunk files by name pattern; derived ones are another set, here empty."""
+    folder = _chunk_files(spark, sf_dir)
+    read = lambda derived: readers.read_chunks(spark, folder, "part", derived, f"{_EVENT_SCHEMA}, run bigint")
+    return read(False).unionByName(read(True)).select("id", "run")
+
+
+@query(
+    "chunk_pull",
+    "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS kind FROM events WHERE event_id > (SELECT max(event_id) // 2 FROM events)",
+)
+def chunk_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pull from the middle: files that end below the cursor stay closed."""
+    folder, index = _chunk_files(spark, sf_dir), scratch_path(spark, "index")
+    chunks.update_index(spark, folder, index, "part", schema=_EVENT_SCHEMA)
+    middle = chunks.index_cursor(spark, index) // 2
+    return chunks.pull(spark, index, middle, schema=_EVENT_SCHEMA).select("id", "kind")
+
+
 @query("resume_cursor", "SELECT coalesce(max(event_id), 159526481) AS last_id FROM events")
 def resume_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.last_id(_event_records(spark, sf_dir))
@@ -286,3 +331,67 @@ def freshness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     writers.fresh_or_recomputed(spark, folder, compute, timedelta(hours=1))
     return writers.fresh_or_recomputed(spark, folder, never, timedelta(hours=1))
+
+
+# line 5 is cut off in the middle, line 6 has text in place of a number (fixed by the queries below and their SQL)
+@query(
+    "rejected_json_records",
+    f"""SELECT {CLASSIFICATION_SQL} AS id, l_linenumber NOT IN (5, 6) AS kept, CASE l_linenumber
+      WHEN 5 THEN '{{"id":"' || {CLASSIFICATION_SQL} || '","line"'
+      WHEN 6 THEN '{{"id":"' || {CLASSIFICATION_SQL} || '","line":"six"}}' END AS record FROM lineitem""",
+)
+def rejected_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected lines of one scan together are the input."""
+    path = scratch_path(spark, "damaged")
+    line, id_ = F.col("l_linenumber"), classification()
+    start = F.concat(F.lit('{"id":"'), id_, F.lit('","line"'))
+    rest = F.when(line == 5, F.lit("")).when(line == 6, F.lit(':"six"}')).otherwise(F.concat(F.lit(":"), line.cast("string"), F.lit("}")))
+    table(spark, sf_dir, "lineitem").select(F.concat(start, rest).alias("value")).write.text(path)
+    records = readers.json_records(rejects.read_lines(spark, path), "id string, line int")
+    found = rejects.routed(records, scratch_path(spark, "routed"), "lines")
+    kept = found.accepted.select("id", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("record"))
+    name = F.regexp_extract("record", '"id":"([^"]*)"', 1)
+    return kept.unionByName(found.rejected.select(name.alias("id"), F.lit(False).alias("kept"), "record"))
+
+
+@query(
+    "rejected_csv_rows",
+    """SELECT CAST(p_partkey AS VARCHAR) AS part, p_size % 7 > 1 AS kept,
+    CASE p_size % 7 WHEN 0 THEN p_partkey || ',' || p_size || 'x' WHEN 1 THEN CAST(p_partkey AS VARCHAR) END AS record FROM part""",
+)
+def rejected_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a cell that is no number, or with too few cells, are set aside whole."""
+    path = scratch_path(spark, "damaged")
+    part, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    rest = F.when(F.col("p_size") % 7 == 0, F.concat(F.lit(","), size, F.lit("x"))).when(F.col("p_size") % 7 == 1, F.lit(""))
+    row = F.concat(part, F.coalesce(rest, F.concat(F.lit(","), size)))
+    table(spark, sf_dir, "part").select(row.alias("value")).write.text(path)
+    found = rejects.routed(readers.csv_records(spark, path, "part string, size int", header=False), scratch_path(spark, "routed"), "parts")
+    kept = found.accepted.select("part", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("record"))
+    return kept.unionByName(found.rejected.select(F.split("record", ",")[0].alias("part"), F.lit(False).alias("kept"), "record"))
+
+
+@query(
+    "rejected_annotations",
+    f"""SELECT {CLASSIFICATION_SQL} AS classification_id, CASE WHEN l_linenumber = 5 THEN 'annotations'
+      WHEN l_linenumber = 6 THEN 'annotations, metadata' END AS reason,
+      CASE WHEN l_linenumber NOT IN (5, 6) THEN 3 END AS annotations FROM lineitem""",
+)
+def rejected_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows with damaged JSON cells leave the main path with the names of their damaged columns."""
+    line = F.split("classification_id", "-")[1]
+    damaged = _export(spark, sf_dir).withColumns(
+        {
+            "annotations": F.when(line.isin("5", "6"), F.substring("annotations", 1, 30)).otherwise(F.col("annotations")),
+            "metadata": F.when(line == "6", F.lit("{no json")).otherwise(F.col("metadata")),
+        }
+    )
+    path = scratch_path(spark, "export")
+    writers.write_csv(damaged, path)
+    records = readers.csv_records(spark, path, readers.CLASSIFICATION_EXPORT)
+    checked = rejects.checked_cells(records, {"annotations": ANNOTATION_TEXT, "metadata": "map<string,string>"})
+    found = rejects.routed(checked, scratch_path(spark, "routed"), "export")
+    parsed = F.from_json("annotations", ANNOTATION_TEXT, {"mode": "FAILFAST"})
+    kept = found.accepted.select("classification_id", F.lit(None).cast("string").alias("reason"), F.size(parsed).alias("annotations"))
+    name = F.get_json_object("record", "$.classification_id")
+    return kept.unionByName(found.rejected.select(name.alias("classification_id"), "reason", F.lit(None).cast("int").alias("annotations")))

@@ -264,6 +264,32 @@ def drop_empty_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.without_empty_columns(suppliers.withColumn("never", F.lit(None).cast("string")))
 
 
-@query("random_sample")
+def _lot_sql(key: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5('{seed}:' || {key}), 1, 13) AS BIGINT)"
+
+
+@query(
+    "random_sample",
+    f"""WITH lots AS (SELECT event_id, {_lot_sql('event_id', 7)} / CAST({ops.LOTS} AS DOUBLE) AS lot FROM events)
+    SELECT event_id FROM (SELECT event_id, unnest(generate_series(1,
+      {' + '.join(f"CAST(lot >= CAST('{x!r}' AS DOUBLE) AS INT)" for x in ops.poisson_steps(0.75))})) FROM lots)""",
+)
 def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.random_sample(table(spark, sf_dir, "events"), 0.75, replacement=True, seed=7).select("event_id")
+    return ops.random_sample(table(spark, sf_dir, "events"), 0.75, replacement=True, seed=7, keys=["event_id"]).select("event_id")
+
+
+@query(
+    "random_sample_once",
+    f"SELECT event_id FROM events WHERE {_lot_sql('event_id', 3)} / CAST({ops.LOTS} AS DOUBLE) < CAST('0.2' AS DOUBLE)",
+)
+def random_sample_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.random_sample(table(spark, sf_dir, "events"), 0.2, seed=3, keys=["event_id"]).select("event_id")
+
+
+@query(
+    "random_sample_rows",
+    f"SELECT event_id, event_type FROM events ORDER BY {_lot_sql('event_id', 5)} LIMIT 700",
+)
+def random_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample size is the feature."""
+    return ops.sample_rows(table(spark, sf_dir, "events"), 700, seed=5, keys=["event_id"]).select("event_id", "event_type")

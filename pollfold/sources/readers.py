@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from pollfold.functions.columns import c
 from pollfold.functions.jsons import STRICT
 from pollfold.operators.aggregates import value_at_rank
+from pollfold.sources.rejects import csv_records as csv_records  # the tolerant counterparts of the strict readers below
+from pollfold.sources.rejects import json_records as json_records
 
 # Column names and types of the platform's files (fixed values).
 CLASSIFICATION_EXPORT = (
@@ -30,6 +32,8 @@ API_RECORD = (
 )
 WORKFLOW_VERSION = "major_number string, minor_number string, links struct<workflow:string>, strings map<string,string>"
 DERIVED_MARK = "derived"
+# a row with too few cells, or a cell that does not fit its type, fails the scan, whichever columns are asked for
+STRICT_CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": "false"}
 FIRST_ID = 159526481  # where an incremental pull starts when nothing was pulled before
 
 
@@ -58,19 +62,18 @@ def stream_parquet(spark: SparkSession, folder: str, schema: StructType | str) -
 
 def read_classification_export(spark: SparkSession, path: str) -> DataFrame:
     """Classification export: quotes inside JSON cells are doubled; a malformed row fails the scan."""
-    return spark.read.csv(
-        path, schema=CLASSIFICATION_EXPORT, header=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False
-    )
+    return spark.read.options(**STRICT_CSV).csv(path, schema=CLASSIFICATION_EXPORT, header=True, enforceSchema=False)
 
 
 def read_subject_export(spark: SparkSession, path: str) -> DataFrame:
-    """Subject export; all ids stay text."""
-    return spark.read.csv(path, schema=SUBJECT_EXPORT, header=True, quote='"', escape='"')
+    """Subject export; all ids stay text. A malformed row fails the scan."""
+    return spark.read.options(**STRICT_CSV).csv(path, schema=SUBJECT_EXPORT, header=True)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with header. Without ``schema`` every column is text: no inference pass, ids keep their zeros."""
-    df = spark.read.csv(path, schema=schema, header=True, quote='"', escape='"')
+    """CSV with header. Without ``schema`` every column is text: no inference pass, ids keep their zeros. A malformed row
+    fails the scan; :func:`csv_records` sets it aside instead."""
+    df = spark.read.options(**STRICT_CSV).csv(path, schema=schema, header=True)
     return df if columns is None else df.select(*[c(name) for name in columns])
 
 
@@ -84,8 +87,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_shards(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """CSV part files without header line."""
-    return spark.read.csv(folder, schema=schema, header=False, quote='"', escape='"')
+    """CSV part files without header line; a malformed row fails the scan."""
+    return spark.read.options(**STRICT_CSV).csv(folder, schema=schema, header=False)
 
 
 def read_chunks(

@@ -40,7 +40,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the provide
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(QUERIES) - set(ORACLES) == {"random_sample"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 @needs_tables
