@@ -2,7 +2,6 @@
 
 Fixed values: the raw and published question and answer names below are the vocabulary that exported
 classifications and downstream catalogues use; results are only comparable when they are spelled exactly so.
-Coded dictionaries number their raw answers ``a-0``, ``a-1``, ... in the listed order.
 """
 
 from __future__ import annotations
@@ -10,15 +9,6 @@ from __future__ import annotations
 from pollfold.dictionary import QuestionSet
 
 
-def _coded(prefix: str, *questions: tuple[int, str, str]) -> QuestionSet:
-    return QuestionSet.build(
-        *(
-            (f"{prefix}-{number}", name, {f"a-{i}": a for i, a in enumerate(answers.split())})
-            for number, name, answers in questions
-        )
-    )
-
-
 # --- fixed values: decision tree shared by all image surveys, T0 to T11 ---
 _HOW_ROUNDED = ("T1", "how-rounded", {"completely round": "round", "in between": "in-between", "cigar-shaped": "cigar-shaped"})
 _EDGE_ON = ("T2", "disk-edge-on", {"yes -  edge on disk": "yes", "no - something else": "no"})
@@ -82,31 +72,40 @@ JWST_CEERS = QuestionSet.build(
 JWST_COSMOS = JWST_CEERS
 
 # --- fixed values: coded dictionaries of the older platform ---
-UKIDSS = _coded(
-    "ukidss",
-    (0, "smooth-or-featured", "smooth featured-or-disk artifact"),
-    (7, "how-rounded", "round in-between cigar"),
-    (1, "disk-edge-on", "yes no"),
-    (8, "bulge-shape", "round boxy no-bulge"),
-    (2, "bar", "yes no"),
-    (3, "has-spiral-arms", "yes no"),
-    (9, "spiral-winding", "tight medium loose"),
-    (10, "spiral-arm-count", "1 2 3 4 more-than-4 cant-tell"),
-    (4, "bulge-size", "no just-noticeable obvious dominant"),
-    (5, "something-odd", "yes no"),
+UKIDSS = QuestionSet.build(
+    ("ukidss-0", "smooth-or-featured", {"a-0": "smooth", "a-1": "featured-or-disk", "a-2": "artifact"}),
+    ("ukidss-7", "how-rounded", {"a-0": "round", "a-1": "in-between", "a-2": "cigar"}),
+    ("ukidss-1", "disk-edge-on", {"a-0": "yes", "a-1": "no"}),
+    ("ukidss-8", "bulge-shape", {"a-0": "round", "a-1": "boxy", "a-2": "no-bulge"}),
+    ("ukidss-2", "bar", {"a-0": "yes", "a-1": "no"}),
+    ("ukidss-3", "has-spiral-arms", {"a-0": "yes", "a-1": "no"}),
+    ("ukidss-9", "spiral-winding", {"a-0": "tight", "a-1": "medium", "a-2": "loose"}),
+    (
+        "ukidss-10",
+        "spiral-arm-count",
+        {
+            "a-0": "1",
+            "a-1": "2",
+            "a-2": "3",
+            "a-3": "4",
+            "a-4": "more-than-4",
+            "a-5": "cant-tell",
+        },
+    ),
+    ("ukidss-4", "bulge-size", {"a-0": "no", "a-1": "just-noticeable", "a-2": "obvious", "a-3": "dominant"}),
+    ("ukidss-5", "something-odd", {"a-0": "yes", "a-1": "no"}),
 )
-DR2 = _coded(
-    "decals",
-    (0, "smooth-or-featured", "smooth featured-or-disk artifact"),
-    (8, "how-rounded", "completely in-between cigar-shaped"),
-    (1, "disk-edge-on", "yes no"),
-    (7, "edge-on-bulge", "rounded boxy none"),
-    (2, "bar", "yes no"),
-    (3, "has-spiral-arms", "yes no"),
-    (5, "spiral-winding", "tight medium loose"),
-    (6, "spiral-arm-count", "1 2 3 4 more-than-4"),
-    (4, "bulge-size", "none obvious dominant"),
-    (9, "merging", "merger tidal-debris both neither"),
+DR2 = QuestionSet.build(
+    ("decals-0", "smooth-or-featured", {"a-0": "smooth", "a-1": "featured-or-disk", "a-2": "artifact"}),
+    ("decals-8", "how-rounded", {"a-0": "completely", "a-1": "in-between", "a-2": "cigar-shaped"}),
+    ("decals-1", "disk-edge-on", {"a-0": "yes", "a-1": "no"}),
+    ("decals-7", "edge-on-bulge", {"a-0": "rounded", "a-1": "boxy", "a-2": "none"}),
+    ("decals-2", "bar", {"a-0": "yes", "a-1": "no"}),
+    ("decals-3", "has-spiral-arms", {"a-0": "yes", "a-1": "no"}),
+    ("decals-5", "spiral-winding", {"a-0": "tight", "a-1": "medium", "a-2": "loose"}),
+    ("decals-6", "spiral-arm-count", {"a-0": "1", "a-1": "2", "a-2": "3", "a-3": "4", "a-4": "more-than-4"}),
+    ("decals-4", "bulge-size", {"a-0": "none", "a-1": "obvious", "a-2": "dominant"}),
+    ("decals-9", "merging", {"a-0": "merger", "a-1": "tidal-debris", "a-2": "both", "a-3": "neither"}),
 )
 
 # --- fixed values: expert lens grading ---

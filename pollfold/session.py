@@ -12,11 +12,12 @@ def shuffle_partitions(shuffle_bytes: int, cores: int) -> int:
     return max(2 * cores, -(-shuffle_bytes // TARGET_PARTITION_BYTES))
 
 
-def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+def tune(spark: SparkSession, shuffle_bytes: int | None = None, disk_state: bool = False) -> SparkSession:
     """Settings the operators count on: UTC, adaptive plans with skew splitting, partitions that fit in memory.
 
     ``shuffle_bytes`` is the size of the largest shuffle, for responses about 40 bytes a row. Without it the session's
-    number of partitions stays as it is.
+    number of partitions stays as it is. ``disk_state`` keeps keyed stream state in RocksDB on local disks, for state that
+    outgrows the executors' heap.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -26,6 +27,9 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
     }
+    if disk_state:
+        provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        settings["spark.sql.streaming.stateStore.providerClass"] = provider
     if shuffle_bytes is not None:
         cores = spark.sparkContext.defaultParallelism
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes, cores))
