@@ -70,12 +70,12 @@ def closest(item_masks: dict[str, int], length: int, text: str) -> tuple[int, in
 class Items:
     """The pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        by_text: dict[str, list[int]] = defaultdict(list)
+    def __init__(self, items: list[tuple[int | None, str]]):
+        by_text: dict[str, list[int | None]] = defaultdict(list)
         for item_id, text in items:
             by_text[normal(text)].append(item_id)
         self.texts = sorted(t for t in by_text if t)
-        self.ids = [sorted(by_text[t]) for t in self.texts]
+        self.ids = [by_text[t] for t in self.texts]
         self.masks: dict[int, dict[str, int]] = {}
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, text in enumerate(self.texts):
@@ -110,7 +110,7 @@ class Items:
                         break
             if best <= e:
                 out += [{"item_id": i, "distance": best, "stop": stop} for i in self.ids[k]]
-        return sorted(out, key=lambda m: (m["item_id"], m["distance"], m["stop"]))
+        return sorted(out, key=lambda m: (m["item_id"] is None, m["item_id"] or 0, m["distance"], m["stop"]))
 
 
 def merged(regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -126,7 +126,7 @@ def merged(regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def matched(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, Column]:
     """All columns of ``docs`` and the column of the matched items."""
-    items = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND length(trim(text)) > 0").distinct()
+    items = benchmark.select("item_id", "text").where("length(trim(text)) > 0").distinct()
     # blocks by hash come out some larger, some smaller
     blocks = int((items.agg(F.sum(F.length("text"))).first()[0] or 0) // (block_chars // 2) + 1)
     items = saved(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "benchmark-items")
@@ -160,8 +160,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK
     (inserted, deleted or changed character) per CHARS_PER_ERROR characters, in lower case and with single spaces:
     ``distance`` is the least number of edits, ``stop`` the first end of such a copy in the normalised text.
 
-    Null and empty texts match nothing, null and blank items match nothing; items of equal text all match; texts of any
-    length are read whole; null ids and repeated rows stay; empty tables are fine; other columns are ignored.
+    Null and empty texts match nothing, items without text match nothing; an item without id matches by its text like any
+    other and is listed with a null id; items of equal text all match; texts of any length are read whole; null ids and repeated rows stay; empty tables are fine; other columns are ignored.
     """
     rows, items = matched(docs.select("doc_id", "text"), benchmark, block_chars)
     return rows.select("doc_id", (F.size(items) > 0).alias("contaminated"), F.size(items).alias("n_items"), F.array_sort(items).alias("items"))

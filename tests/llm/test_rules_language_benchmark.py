@@ -176,7 +176,7 @@ def test_closest():
 def test_contaminated(spark, odd_docs):
     rng = random.Random(6)
     text = lambda n: "".join(rng.choice("abcdefgh   é\n") for _ in range(n))
-    items = [(i, text(rng.choice([5, 19, 25, 60, 140]))) for i in range(25)] + [(25, None), (26, " "), (27, "Same Text Here"), (28, "same  text here"), (None, "abc")]
+    items = [(i, text(rng.choice([5, 19, 25, 60, 140]))) for i in range(25)] + [(25, None), (26, " "), (27, "Same Text Here"), (28, "same  text here"), (None, "abc"), (None, "same text HERE")]
 
     def edited(s, n):
         for _ in range(n):
@@ -193,13 +193,13 @@ def test_contaminated(spark, odd_docs):
         whole = decontamination.normal(t or "")
         expected[i] = []
         for item_id, item in items:
-            if item_id is not None and item and item.strip():
+            if item and item.strip():
                 item = decontamination.normal(item)
                 best, stop = edit_table(item, whole)
                 if best <= len(item) // 20:
                     expected[i].append((item_id, best, stop))
     for block_chars in (10**6, 700):
-        got = {r.doc_id: sorted((m.item_id, m.distance, m.stop) for m in r["items"]) for r in decontamination.contaminated(docs, benchmark, block_chars).collect()}
-        assert got == expected
+        got = {r.doc_id: sorted(((m.item_id, m.distance, m.stop) for m in r["items"]), key=repr) for r in decontamination.contaminated(docs, benchmark, block_chars).collect()}
+        assert got == {i: sorted(found, key=repr) for i, found in expected.items()}
     assert decontamination.contaminated(odd_docs, benchmark).count() == odd_docs.count()
     assert not decontamination.contaminated(odd_docs, benchmark.limit(0)).where("contaminated").count()
