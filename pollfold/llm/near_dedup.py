@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import GAP, ascii_lower, saved, slices, text_bytes
+from pollfold.llm.common import GAP, ascii_lower, columns_of, saved, slices, text_bytes
 from pollfold.llm.components import components
 from pollfold.llm.numtext import grams, mixed, word_hashes, words
 
@@ -280,7 +280,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, the one with the smallest id; documents without words stay. All columns of ``docs``."""
+    """One document of each component, the one with the smallest id; documents without words stay. All columns of ``docs``.
+
+    Of several rows with that id and a text of the component, the one with the least hash of all columns (but for maps) stays,
+    so that reruns agree."""
     _, groups = classes(docs.select("doc_id", "text"), percent)
     node = "_node"
     while node in docs.columns:
@@ -289,5 +292,8 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
     side = groups.select(F.col("node").alias(node), F.col("component").alias(node + "c"), F.col("component_id").alias(node + "i"))
     marked = docs.withColumn(node, digests).join(side, node, "left")
     single = marked.where(F.col(node + "c").isNull())
-    first = marked.where(F.col(node + "c").isNotNull() & F.col("doc_id").eqNullSafe(F.col(node + "i"))).dropDuplicates([node + "c"])
-    return single.unionByName(first).drop(node, node + "c", node + "i")
+    first = marked.where(F.col(node + "c").isNotNull() & F.col("doc_id").eqNullSafe(F.col(node + "i")))
+    digest = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"])
+    least = F.min_by(F.struct(*columns_of(docs)), digest).alias(node)
+    first = first.groupBy(node + "c").agg(least).select(*[F.col(node)[c].alias(c) for c in docs.columns])
+    return single.drop(node, node + "c", node + "i").unionByName(first)

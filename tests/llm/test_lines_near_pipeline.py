@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pollfold.llm import line_dedup, near_dedup
+from pollfold.llm.common import saved
 from pollfold.llm.components import components
 from pollfold.llm.decontamination import normal
 from tests.llm.test_rules_language_benchmark import brute_measures, edit_table
@@ -225,7 +226,7 @@ def test_pipeline_stages(spark, tmp_path, seed):
     expected = brute_stages(rows, labels, items)
     assert len({len(x) for x in [rows, *expected]}) == 5  # every stage has something to remove
     for (name, stage), after in zip(corpus_pipeline.STAGES, expected):
-        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        docs = saved(stage(spark, docs, str(tmp_path)), "stage")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert Counter(map(tuple, docs.collect())) == Counter(after), name
     whole = corpus_pipeline.run(spark, str(tmp_path))
