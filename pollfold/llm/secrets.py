@@ -16,34 +16,78 @@ BASE = (
 # the same matches, without the many short ones: a run that is long enough is matched whole from its start
 LONG_ONLY = {"access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}"}
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
-# class, characters, least entropy in bits of one window
+# class, pattern of the whole string, characters, least entropy in bits of one window: the value that 1 % of random windows of
+# the class stay below (fixed values, simulated)
 CLASSES = (
-    ("entropy_hex", "0123456789abcdefABCDEF", 3.0),
-    ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.9),
+    ("entropy_hex", "^[0-9a-fA-F]+$", "0123456789abcdefABCDEF", 2.9),
+    ("entropy_one_case", "^([0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.38),
+    ("entropy_base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.65),
 )
+# numbers that are summed up one after the other; longer lists are summed in blocks of so many
+BLOCK = 256
 WINDOW = 20
 # a candidate with one of these is documentation, not a secret
 ALLOWED = r"(?i)example|sample|placeholder|dummy|changeme|xxxxx|0123456789|abcdefghij"
 SPAN = "array<struct<kind: string, start: bigint, stop: bigint, found: string, nth: int>>"
 
 
+def running(values: Column, start: Column, step) -> Column:
+    """For every entry of ``values`` what ``step`` has made of ``start`` and all entries before it; ``step`` is associative.
+
+    An array that grows by one entry is copied each time, so blocks of BLOCK entries are done on their own, each from what
+    the blocks before it give: the copies grow with the entries, not with their square."""
+
+    def scan(entries: Column, first: Column) -> Column:
+        state = F.struct(first.alias("now"), F.array().cast("array<bigint>").alias("seen"))
+        add = lambda acc, x: F.struct(step(acc["now"], x).alias("now"), F.concat(acc["seen"], F.array(acc["now"])).alias("seen"))
+        return F.aggregate(entries, state, add)["seen"]
+
+    last = F.greatest(F.ceil(F.size(values) / BLOCK) - 1, F.lit(0)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
+    totals = F.transform(blocks, lambda block: F.aggregate(block, start, step))
+    # of a sum the start counts once: blocks are joined from their own totals
+    before = scan(totals, start)
+    return F.flatten(F.zip_with(blocks, before, scan))
+
+
 def spans_of(text: Column, pattern: str, kind: str, nth: int) -> Column:
     """All matches as (kind, start, stop, found, nth), positions in code points: gaps and matches take turns."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    turns = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("match"))
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("spans"))
-
-    def step(acc: Column, turn: Column) -> Column:
-        start = acc["at"] + F.length(turn["gap"])
-        stop = start + F.coalesce(F.length(turn["match"]), F.lit(0))
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), turn["match"].alias("found"), F.lit(nth).alias("nth")
-        )
-        spans = F.when(turn["match"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span)))
-        return F.struct(stop.cast("bigint").alias("at"), spans.cast(SPAN).alias("spans"))
-
+    long = lambda array: F.transform(array, lambda x: F.length(x).cast("bigint"))
+    gaps = F.slice(long(F.split(text, pattern, -1)), F.lit(1), F.size(found))
+    ends = F.zip_with(gaps, long(found), lambda g, m: g + m)
+    starts = F.zip_with(running(ends, F.lit(0).cast("bigint"), lambda at, n: at + n), gaps, lambda at, g: at + g)
+    spans = F.zip_with(
+        starts,
+        found,
+        lambda at, m: F.struct(
+            F.lit(kind).alias("kind"), at.alias("start"), (at + F.length(m)).alias("stop"), m.alias("found"), F.lit(nth).alias("nth")
+        ),
+    )
     # most texts have no match: they pay for one search only
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(turns, state, step)["spans"]).otherwise(F.array().cast(SPAN))
+    return F.when(F.rlike(text, F.lit(pattern)), spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+
+def by_start(spans: Column) -> Column:
+    return F.array_sort(
+        spans, lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int")).otherwise(a["nth"] - b["nth"])
+    )
+
+
+def apart_from(spans: Column, base: Column) -> Column:
+    """The ``spans`` that overlap none of ``base``, which have ``nth`` up to len(BASE): one pass over both in order of start for
+    base spans that start before, one backwards for those that start after."""
+    every = by_start(F.concat(base, spans))
+    is_base = lambda s: s["nth"] <= len(BASE)
+    far = F.lit(2**62).cast("bigint")
+    stops = F.transform(every, lambda s: F.when(is_base(s), s["stop"]).otherwise(F.lit(0).cast("bigint")))
+    starts = F.transform(F.reverse(every), lambda s: F.when(is_base(s), s["start"]).otherwise(far))
+    reached = running(stops, F.lit(0).cast("bigint"), lambda x, y: F.greatest(x, y))
+    coming = F.reverse(running(starts, far, lambda x, y: F.least(x, y)))
+    judged = F.arrays_zip(every.alias("span"), reached.alias("reached"), coming.alias("coming"))
+    free = F.filter(judged, lambda x: ~is_base(x["span"]) & (x["reached"] <= x["span"]["start"]) & (x["coming"] >= x["span"]["stop"]))
+    kept = F.transform(free, lambda x: x["span"]).cast(SPAN)
+    return F.when((F.size(spans) > 0) & (F.size(base) > 0), kept).otherwise(spans)
 
 
 def base_spans(text: Column, nth: int, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -88,31 +132,30 @@ def best_entropy(found: Column, alphabet: str, window: int = WINDOW) -> Column:
     return F.lit(math.log2(window)) - lowest
 
 
-def entropy_spans(text: Column, window: int = WINDOW) -> Column:
-    """Candidates that are one class only, mix letters and digits, are not allow-listed and have a window of high entropy."""
-    (hex_kind, hex_chars, hex_least), (kind, chars, least) = CLASSES
-    spans = spans_of(text, CANDIDATE, "", 0)
+def candidates(text: Column) -> Column:
+    """Strings that are long enough, mix letters and digits and are not allow-listed, with their class as kind."""
+    kind = lambda s, values: F.coalesce(*[F.when(F.rlike(s["found"], F.lit(pattern)), v) for (_, pattern, _, _), v in zip(CLASSES, values)])
     mixed = F.filter(
-        spans,
+        spans_of(text, CANDIDATE, "", len(BASE) + 1),
         lambda s: F.rlike(s["found"], F.lit("[0-9]")) & F.rlike(s["found"], F.lit("[A-Za-z]")) & ~F.rlike(s["found"], F.lit(ALLOWED)),
     )
-    is_hex = lambda s: F.rlike(s["found"], F.lit("^[0-9a-fA-F]+$"))
-    high = F.filter(
+    classed = F.transform(
         mixed,
-        lambda s: F.when(is_hex(s), best_entropy(s["found"], hex_chars, window) >= hex_least).otherwise(
-            best_entropy(s["found"], chars, window) >= least
-        ),
-    )
-    return F.transform(
-        high,
         lambda s: F.struct(
-            F.when(is_hex(s), hex_kind).otherwise(kind).alias("kind"),
+            kind(s, [F.lit(c[0]) for c in CLASSES]).alias("kind"),
             s["start"].alias("start"),
             s["stop"].alias("stop"),
             s["found"].alias("found"),
-            F.when(is_hex(s), 4).otherwise(5).alias("nth"),
+            kind(s, [F.lit(len(BASE) + 1 + k) for k in range(len(CLASSES))]).alias("nth"),
         ),
-    ).cast(SPAN)
+    )
+    return classed.cast(SPAN)
+
+
+def of_high_entropy(spans: Column, window: int = WINDOW) -> Column:
+    """Candidates with a window whose entropy reaches the limit of their class."""
+    enough = lambda s: F.coalesce(*[F.when(s["kind"] == kind, best_entropy(s["found"], chars, window) >= least) for kind, _, chars, least in CLASSES])
+    return F.filter(spans, enough)
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -126,12 +169,9 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = [base_spans(F.col("text"), nth, *of) for nth, of in enumerate(BASE, 1)]
-    by_start = lambda spans: F.array_sort(
-        spans, lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int")).otherwise(a["nth"] - b["nth"])
-    )
-    found = rows.select("doc_id", by_start(F.concat(*base)).alias("base"), entropy_spans(F.col("text")).alias("strong"))
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-    return found.select("doc_id", "base", by_start(F.filter("strong", apart)).alias("added"))
+    found = rows.select("doc_id", by_start(F.concat(*base)).alias("base"), candidates(F.col("text")).alias("strong"))
+    found = found.select("doc_id", "base", apart_from(F.col("strong"), F.col("base")).alias("strong"))
+    return found.select("doc_id", "base", of_high_entropy(F.col("strong")).alias("added"))
 
 
 def span_text(spans: Column) -> Column:

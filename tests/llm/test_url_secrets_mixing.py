@@ -52,11 +52,11 @@ def brute_secrets(text):
     added = []
     for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text):
         s = m[0]
-        kind, chars, least = CLASSES[0] if re.fullmatch("[0-9a-fA-F]+", s) else CLASSES[1]
+        nth, (kind, _, _, least) = next((k, c) for k, c in enumerate(CLASSES, 4) if re.search(c[1], s))
         entropy = max(-sum(c / 20 * math.log2(c / 20) for c in Counter(s[i : i + 20]).values()) for i in range(len(s) - 19))
         good = re.search("[0-9]", s) and re.search("[A-Za-z]", s) and not re.search(ALLOWED, s) and entropy >= least - 1e-9
         if good and not any(b[1] < m.end() and m.start() < b[2] for b in base):
-            added.append((kind, *m.span(), 4 if kind == "entropy_hex" else 5))
+            added.append((kind, *m.span(), nth))
     order = lambda x: sorted(x, key=lambda s: (s[1], s[3]))
     return order(base), order(added)
 
@@ -68,7 +68,7 @@ def test_secrets(spark, odd_docs):
     texts = [None, "", "secret: token: abcdefghij", "PassWord = 'abc' api-key=1 apikey:\"" + pick(letters, 30), "é😀 token=" + "a" * 8]
     texts += ["AKIAAKIA" + pick("ABC123", n) + " x" for n in (3, 7, 8, 9, 20)] + [pick("0123456789abcdef", n) for n in (31, 32, 33, 400)]
     for _ in range(200):
-        chars = rng.choice([letters, "0123456789ABCDEF", "abc1", "0123456789abcdef"])
+        chars = rng.choice([letters, "0123456789ABCDEF", "abc1", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJ234567"])
         texts.append(" ".join(pick("etaoin é", rng.randint(0, 30)) + rng.choice(["", "passwd:", "x="]) + pick(chars, rng.randint(1, 60)) for _ in range(6)))
     docs = spark.createDataFrame([(i, t, "b") for i, t in enumerate(texts)], "doc_id long, text string, base string")
     got = {r.doc_id: r for r in find_secrets(docs).collect()}
@@ -80,6 +80,12 @@ def test_secrets(spark, odd_docs):
         assert [(s.kind, s.start, s.stop, s.nth) for s in got[i].added] == more, t
         added += len(more)
     assert added > 20
+    # many matches in one text, more than one block of running sums
+    many = " ".join(pick("0123456789abcdef", rng.choice([20, 31, 32, 40])) + rng.choice(["", "g", "/Z"]) for _ in range(1500))
+    row = find_secrets(spark.createDataFrame([(1, many)], "doc_id long, text string")).first()
+    base, more = brute_secrets(many)
+    assert [(s.kind, s.start, s.stop, s.nth) for s in row.base] == base
+    assert [(s.kind, s.start, s.stop, s.nth) for s in row.added] == more
     assert find_secrets(odd_docs).count() == odd_docs.count()
     assert find_secrets(odd_docs.limit(0)).count() == 0
 
