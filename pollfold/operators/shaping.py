@@ -187,7 +187,7 @@ def random_sample(
     share = lot(keys or df.columns, seed) / F.lit(float(LOTS))
     if not replacement:
         return df.where(share < F.lit(float(fraction)))
-    copies = reduce(add, [(share >= F.lit(x)).cast("int") for x in poisson_steps(fraction)])
+    copies = reduce(add, [(share >= F.lit(x)).cast("int") for x in poisson_steps(fraction)], F.lit(0))
     return df.select("*", F.explode(F.array_repeat(F.lit(True), copies)).alias("__copy")).drop("__copy")
 
 

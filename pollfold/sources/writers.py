@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pollfold.functions.columns import c
+from pollfold.sources.storage import remove
 
 # Column order of the plain text response lines (fixed value).
 RESPONSE_LINE = ("classification_id", "created_at", "user_id", "subject_id", "task", "value")
@@ -52,11 +53,13 @@ def fresh_or_recomputed(
     compute: Callable[[], DataFrame],
     max_age: timedelta | None = timedelta(hours=1),
     now: datetime | None = None,
+    grace: timedelta | None = timedelta(days=1),
 ) -> DataFrame:
     """The stored result when it is younger than ``max_age``, else a new one, which is stored first.
 
     Every run writes its own table and one row to the run log, so readers never see half a result.
-    ``max_age=None`` always recomputes.
+    ``max_age=None`` always recomputes. Tables that a newer one has replaced are removed once they are older than ``grace``,
+    the time that their readers have; ``None`` keeps them.
     """
     now = now or datetime.now(timezone.utc)
     log = f"{folder}/runs"
@@ -73,5 +76,10 @@ def fresh_or_recomputed(
     compute().write.parquet(table)
     entry = [(now, table, time.monotonic() - started)]
     spark.createDataFrame(entry, RUN_LOG).coalesce(1).write.mode("append").json(log)
+    if grace is not None:
+        # the run before this one was the newest until now, so its readers have the grace from here on
+        runs = spark.read.schema(RUN_LOG).json(log).filter(F.col("table_path") != table).orderBy(F.desc("run_at"))
+        for old in runs.offset(1).filter(F.col("run_at") < F.lit(now - grace)).collect():
+            remove(spark, old["table_path"])
     return spark.read.parquet(table)
 

@@ -167,3 +167,18 @@ def test_ends_and_fold(spark):
     other = spark.createDataFrame([(1, 10), (9, 90)], "t int, n int")
     third = spark.createDataFrame([(3, 5)], "t int, m int")
     assert rows_of(joins.fold_outer([other, third], ["t"])) == [(1, 10, 0), (3, 0, 5), (9, 90, 0)]
+
+
+def test_samples_depend_on_keys_and_seed_alone(spark):
+    rows = spark.range(4000).withColumn("name", F.concat(F.lit("n"), F.col("id")))
+    dealt = rows.repartition(13).orderBy(F.desc("id"))
+    for options in ({"fraction": 0.3}, {"fraction": 1.7, "replacement": True}, {"fraction": 0.3, "seed": 4}):
+        first = sorted(r["id"] for r in shaping.random_sample(rows, **options).collect())
+        assert first == sorted(r["id"] for r in shaping.random_sample(dealt, **options).collect())
+        assert abs(len(first) / 4000 - options["fraction"]) < 0.08
+    once = {r["id"] for r in shaping.random_sample(rows, 0.3, keys=["id"]).collect()}
+    assert once != {r["id"] for r in shaping.random_sample(rows, 0.3, seed=4, keys=["id"]).collect()}
+    picked = shaping.sample_rows(dealt, 100, keys=["id"])
+    assert picked.count() == 100 and {r["id"] for r in picked.collect()} <= once
+    assert shaping.sample_rows(rows, 0).count() == 0 and shaping.sample_rows(rows, 10**6).count() == 4000
+    assert shaping.poisson_steps(0.75)[0] == pytest.approx(0.4723665527410147) and shaping.poisson_steps(0.0) == []

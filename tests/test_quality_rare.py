@@ -1,6 +1,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from pollfold.plans import publish, quality, rare
@@ -57,6 +58,20 @@ def test_rare_features(spark):
     assert rows_of(merged, "id_str", "ring_fraction") == [("a", 0.5), ("c", None)]
 
 
+def test_open_vocabulary_makes_no_columns(spark):
+    data = [(f"s{k % 50}", json.dumps([f"odd {k}", "Ring"])) for k in range(3000)]
+    chosen = rare.chosen_features(spark.createDataFrame(data, "id_str string, value string"), "id_str")
+    table = rare.feature_table(chosen, "id_str")
+    maps = {r["id_str"]: r["features"] for r in rare.feature_maps(table, "id_str").collect()}
+    assert len(maps) == 50 and maps["s0"]["ring"] == 60 and maps["s0"]["odd_50"] == 1 and len(maps["s0"]) == 61
+    reduced = spark.createDataFrame([("s0", 120), ("s1", 0)], "id_str string, `smooth-or-featured_total-votes` int")
+    shares = {(r[0], r[1]): r[3] for r in rare.feature_shares(reduced, table, "id_str").collect()}
+    assert shares["s0", "ring"] == 0.5 and shares["s1", "ring"] is None and len(shares) == 122
+    with pytest.raises(ValueError, match="more than 2000"):
+        rare.feature_counts(chosen, "id_str")
+    assert rare.feature_counts(chosen, "id_str", ["ring"]).columns == ["id_str", "ring"]
+
+
 def test_publish_catalog_split(spark):
     ids = range(10)
     reduced = spark.createDataFrame([(i, i + 1) for i in ids], "id_str int, votes int")

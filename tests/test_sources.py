@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from pollfold.plans.subjects import current_subjects, subjects_from_export, subjects_from_raw
-from pollfold.sources import readers, writers
+from pollfold.sources import chunks, readers, rejects, writers
 from tests.conftest import rows_of
 
 
@@ -66,6 +66,57 @@ def test_csv_round_trip_with_json_cells(spark, tmp_path):
     writers.write_csv(df, None)
 
 
+def test_damaged_csv_stops_or_is_set_aside(spark, tmp_path):
+    path = tmp_path / "damaged.csv"
+    path.write_text('id,n,note\n1,2,"a, b"\nabc,3,x\n4,5\n6,7,y,z\n8,,\n')
+    schema = "id bigint, n int, note string"
+    for read in (readers.read_csv, lambda *a, **k: readers.read_csv(*a, **k).select("note")):  # whatever columns are asked for
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read(spark, str(path), schema=schema).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_subject_export(spark, str(path)).collect()
+    headless = tmp_path / "headless.csv"
+    headless.write_text("1,2,x\nabc,3,x\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_shards(spark, str(headless), schema).collect()
+    found = rejects.routed(readers.csv_records(spark, str(path), schema), str(tmp_path / "routed"), "export")
+    assert rows_of(found.accepted) == [(1, 2, "a, b"), (8, None, None)]
+    assert rows_of(found.rejected, "file_name", "record") == [("damaged.csv", "4,5"), ("damaged.csv", "6,7,y,z"), ("damaged.csv", "abc,3,x")]
+    assert (found.n_accepted, found.n_rejected) == (2, 3)
+
+
+def test_damaged_cells_leave_with_their_row(spark, tmp_path):
+    rows = [("a", '[{"task":"T0"}]', '{"x":1}'), ("b", '[{"task":', '{"x":1}'), ("c", None, "{"), ("d", " ", "null"), ("e", "[{", "nope")]
+    cells = spark.createDataFrame(rows, "id string, annotations string, metadata string")
+    checked = rejects.checked_cells(cells, {"annotations": "array<struct<task:string>>", "metadata": "struct<x:int>"})
+    assert rows_of(rejects.accepted(checked), "id") == [("a",), ("d",)]
+    assert rows_of(rejects.rejected(checked, "t"), "reason") == [("annotations",), ("annotations, metadata",), ("metadata",)]
+    assert rejects.accepted(checked).columns == cells.columns
+
+
+def test_chunk_index_opens_new_files_only(spark, tmp_path):
+    folder, index, schema = tmp_path / "raw", str(tmp_path / "index"), "id string"
+    folder.mkdir()
+    assert chunks.index_cursor(spark, index) == readers.FIRST_ID
+    chunk(folder / "api_a.json", 100, 199)
+    chunk(folder / "api_b.json", 200, 299)
+    chunk(folder / "api_derived_a.json", 1, 9)
+    assert chunks.update_index(spark, str(folder), index, "api", schema=schema) == 2
+    assert chunks.update_index(spark, str(folder), index, "api", schema=schema) == 0
+    chunk(folder / "api_c.json", 250, 320)
+    assert chunks.update_index(spark, str(folder), index, "api", schema=schema) == 1
+    assert rows_of(chunks.read_index(spark, index), "file_name", "first_id", "last_id", "records") == [
+        ("api_a.json", 100, 199, 100),
+        ("api_b.json", 200, 299, 100),
+        ("api_c.json", 250, 320, 71),
+    ]
+    found = chunks.pull(spark, index, 199, schema=schema)
+    assert sorted(name.rsplit("/", 1)[1] for name in found.inputFiles()) == ["api_b.json", "api_c.json"]
+    assert found.count() == 171
+    assert rows_of(chunks.pull(spark, index, 199, 2, schema)) == [("200",), ("201",)]
+    assert chunks.pull(spark, index, chunks.index_cursor(spark, index), schema=schema).count() == 0
+
+
 def test_freshness_gate(spark, tmp_path):
     runs = []
 
@@ -82,6 +133,10 @@ def test_freshness_gate(spark, tmp_path):
     assert gate(2) == 2
     assert gate(2.1) == 2
     assert gate(2.2, None) == 3
+    assert len(list((tmp_path / "gate").glob("table-*"))) == 3
+    assert gate(30) == 4  # the table before may still be read, those replaced a day ago go
+    assert len(list((tmp_path / "gate").glob("table-*"))) == 2
+    assert gate(30.1) == 4
 
 
 def subject(number, metadata, locations, workflow="6122"):
