@@ -91,9 +91,9 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
         inseparable = edge < _FINEST
         done = inseparable or crowded.isEmpty()
         if done:
-            cubes = placed.groupBy(*_CUBE).agg(_listed(inseparable))
+            cubes = _inseparable(placed, leaf) if inseparable else placed.groupBy(*_CUBE).agg(_listed())
         else:
-            small = placed.join(crowded, list(_CUBE), "left_anti").groupBy(*_CUBE).agg(_listed(False))
+            small = placed.join(crowded, list(_CUBE), "left_anti").groupBy(*_CUBE).agg(_listed())
             cubes = small.unionByName(crowded, allowMissingColumns=True)
         reachable = candidates.join(cubes, list(_CUBE))
         if found is not None:
@@ -127,10 +127,20 @@ def _cube_of(edge: float) -> dict[str, Column]:
     return {f"cube_{a}": F.floor(c(a) / F.lit(edge)).cast("bigint") for a in _AXES}
 
 
-def _listed(inseparable: bool) -> Column:
-    """Aggregate: the sources of a cube. Callers make sure that they are few, or ask for one to stand for all."""
-    source = F.struct("c_ra", "c_dec", *_AXES)
-    return (F.array(F.min(source)) if inseparable else F.collect_list(source)).alias("sources")
+def _listed() -> Column:
+    """Aggregate: the sources of a cube. Callers make sure that they are few."""
+    return F.collect_list(F.struct("c_ra", "c_dec", *_AXES)).alias("sources")
+
+
+def _inseparable(placed: DataFrame, leaf: int) -> DataFrame:
+    """All sources of cubes that cannot be cut finer, in several rows of about ``leaf`` each.
+
+    Sources at the very same point are equally far from every galaxy, so the one with the smallest (ra, dec) wins for all."""
+    points = placed.groupBy(*_CUBE, *_AXES).agg(F.min(F.struct("c_ra", "c_dec")).alias("first"))
+    points = points.select(*_CUBE, *_AXES, "first.*")
+    rows = points.groupBy(*_CUBE).agg(F.ceil(F.count(F.lit(1)) / leaf).cast("bigint").alias("rows"))
+    part = F.pmod(F.xxhash64(*_AXES), F.col("rows")).alias("part")
+    return points.join(rows, list(_CUBE)).select("*", part).groupBy(*_CUBE, "part").agg(_listed()).drop("part")
 
 
 def _touching(galaxies: DataFrame, edge: float) -> DataFrame:

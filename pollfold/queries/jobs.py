@@ -124,6 +124,20 @@ def flatten_classifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.drop("workflow_id", "response_id").withColumn("created_at", text_time(F.col("created_at")))
 
 
+@query(
+    "flatten_response_ids",
+    f"""WITH {ANNOTATED_SQL}, t AS (SELECT classification_id, question, response,
+      list_transform(string_split(classification_id || question || response, ''), lambda x: ord(x)) AS b FROM answers)
+    SELECT classification_id, question, response, CAST((len(b) + list_sum(list_transform(range(1, len(b) + 1),
+      lambda i: (len(b) - i + 1) * b[i])))::BIGINT % 65521 * 65536 + (1 + list_sum(b))::BIGINT % 65521 AS VARCHAR) AS response_id
+    FROM t""",
+)
+def flatten_response_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of published tables, as flatten makes them."""
+    flat = flatten(annotated_lines(spark, sf_dir), FLAGS, start=None, since_version=None, id_kind="adler32")
+    return flat.select("classification_id", "question", "response", "response_id")
+
+
 @query(
     "flatten_unique_responses",
     f"""WITH {ANNOTATED_SQL} SELECT DISTINCT classification_id, subject_id, question, response FROM answers""",
@@ -199,6 +213,28 @@ def predict_survey_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(predicted.select("subject_id", *[c(n) for n in names]))
 
 
+def _wilson_sql(question: str, answer: str, answers: list[str]) -> str:
+    n = "(" + " + ".join(f'"{question}_{a}"' for a in answers) + ")::DOUBLE"
+    p, z = f'"{question}_{answer}" / nullif({n}, 0)', "1.2815515655446004e0"
+    centre, spread = f"{p} + {z}*{z}/(2*{n})", f"{z}*sqrt({p}*(1 - {p})/{n} + {z}*{z}/(4*{n}*{n}))"
+    return ", ".join(
+        f'CASE WHEN {n} > 0 THEN round(({centre} {sign} {spread}) / (1 + {z}*{z}/{n}), 6) END AS "{question}_{answer}_{end}"'
+        for sign, end in (("-", "min"), ("+", "max"))
+    )
+
+
+@query(
+    "predict_survey_intervals",
+    f"""{_WIDE_SQL}, r AS ({_reduced_sql('subject_id', _EUCLID_ANSWERS)})
+    SELECT subject_id, {", ".join(_wilson_sql(q, a, names) for q, names in _EUCLID_ANSWERS.items() for a in names)} FROM r""",
+)
+def predict_survey_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interval columns of every answer of the largest dictionary."""
+    predicted = predict(reduce_responses(_wide_responses(spark, sf_dir), EUCLID), EUCLID, interval=0.8)
+    names = [n for q in EUCLID.questions for a in q.answers for n in (q.min_column(a), q.max_column(a))]
+    return rounded(predicted.select("subject_id", *[c(n) for n in names]))
+
+
 @query(
     "predict_intervals",
     f"""WITH {LINE_RESPONSES_SQL}, r AS ({_reduced_sql('subject_id', {'line-status': ['final', 'open']})}),
@@ -390,6 +426,23 @@ def derive_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "derive_annotations",
+    f"""WITH lines AS (SELECT *, {CLASSIFICATION_SQL} AS classification_id, strpos('ANR', l_returnflag) - 1 AS flag FROM lineitem
+      JOIN nation ON n_nationkey = l_suppkey % 25 WHERE n_regionkey IN (1, 2))
+    SELECT classification_id, 'T0' AS task, '![flag.png](https://img.example/flag.png =60x) ' || l_returnflag || ' ' AS value,
+      'Which flag?' AS task_label, CAST(flag AS VARCHAR) AS value_index, false AS multiple_choice FROM lines WHERE l_linenumber <> 7
+    UNION ALL SELECT classification_id, 'T1', l_linestatus, 'Which status?', CAST(strpos('FO', l_linestatus) - 1 AS VARCHAR), false FROM lines
+    UNION ALL SELECT classification_id, 'T10', '["' || l_returnflag || ' in ' || n_name || '","Lens or Arc"]',
+      'Do you see any of these rare features?', '[' || flag || ',3]', true FROM lines""",
+)
+def derive_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The members of the derived annotation lists, label by label."""
+    derived = derive(raw_lines(spark, sf_dir), workflow_versions(version_records(spark, sf_dir)), ["1", "2"])
+    rows = derived.select("classification_id", F.inline("annotations"))
+    return rows.select("classification_id", "task", "value", "task_label", "value_index", "multiple_choice")
+
+
 @query(
     "raw_to_reduced",
     f"""WITH responses AS (SELECT {CLASSIFICATION_SQL} AS classification_id, l_partkey AS subject_id, 'return-flag' AS question,
@@ -575,6 +628,25 @@ query(
     round(((SELECT max(cumulative) FROM c) - cumulative) / ((SELECT max(cumulative) FROM c) - (SELECT max(votes) FROM c)), 6)
       AS remaining_share FROM c""",
 )(_report_part("expert_concentration"))
+_CURVE_SQL = """SELECT rank, votes, CAST(cumulative AS BIGINT) AS cumulative,
+    CAST((SELECT max(cumulative) FROM c) - cumulative AS BIGINT) AS remaining,
+    round(((SELECT max(cumulative) FROM c) - cumulative) / ((SELECT max(cumulative) FROM c) - (SELECT max(votes) FROM c)), 6)
+      AS remaining_share FROM c"""
+query(
+    "report_concentration",
+    f"""WITH {_USER_SQL}, c AS (SELECT row_number() OVER w AS rank, n AS votes, sum(n) OVER w AS cumulative FROM users
+      WINDOW w AS (ORDER BY n DESC, "user" ROWS UNBOUNDED PRECEDING)) {_CURVE_SQL}""",
+)(_report_part("concentration"))
+
+
+def _calendar_sql(seconds: int) -> str:
+    return f"""WITH b AS (SELECT epoch_us(ts) // 1000000 // {seconds} * {seconds} AS s, count(*) AS n FROM events GROUP BY 1),
+    grid AS (SELECT unnest(range((SELECT min(s) FROM b), (SELECT max(s) FROM b) + 1, {seconds})) AS s)
+    SELECT strftime(make_timestamp(s * 1000000), '%Y-%m-%d %H:%M:%S') AS bucket, coalesce(n, 0) AS n FROM grid LEFT JOIN b USING (s)"""
+
+
+query("report_two_hourly", _calendar_sql(7200))(_report_part("two_hourly"))
+query("report_daily", _calendar_sql(86400))(_report_part("daily"))
 query(
     "report_weekly_shares",
     """SELECT isoyear(ts) || '-' || weekofyear(ts) AS week_year, round(avg(CAST(event_type = 'view' AS INT)), 6) AS viewed,

@@ -116,6 +116,33 @@ def scan_classification_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "scan_classification_cells",
+    f"""SELECT {CLASSIFICATION_SQL} AS classification_id, CASE WHEN l_suppkey % 3 <> 0 THEN '10.0.0.' || l_suppkey END AS user_ip,
+    '1' AS workflow_id, 'tree' AS workflow_name, CAST('66.' || (l_linenumber * 100) AS FLOAT) AS workflow_version,
+    CAST(NULL AS VARCHAR) AS gold_standard, CAST(NULL AS VARCHAR) AS expert,
+    '{{"source":"api","viewport":{{"width":"800","height":"600"}},"started_at":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ')
+      || '","finished_at":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') || '","live_project":true,"user_language":"en, gb"}}' AS metadata,
+    '[{{"task":"T0","task_label":"question of T0","value":' || CASE WHEN l_linenumber = 7 THEN '"  "' ELSE
+      '"![flag.png](https://img.example/flag.png =60x) ' || l_returnflag || ' "' END
+      || '}},{{"task":"T1","task_label":"question of T1","value":' || CASE WHEN l_linenumber = 6 THEN 'null' ELSE '"' || chr(39) || l_linestatus || chr(39) || '"' END
+      || '}},{{"task":"T10","task_label":"question of T10","value":"[\\"ring\\",\\"lens or arc\\"]"}}]' AS annotations FROM lineitem""",
+)
+def scan_classification_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other columns of the export: JSON cells with commas, quotes and nested objects come back as written."""
+    return written_export(spark, sf_dir).select(
+        "classification_id",
+        "user_ip",
+        "workflow_id",
+        "workflow_name",
+        "workflow_version",
+        "gold_standard",
+        "expert",
+        "metadata",
+        "annotations",
+    )
+
+
 @query("scan_csv_text_ids", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part")
 def scan_csv_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")

@@ -77,6 +77,14 @@ def test_positions_closer_than_double_precision(spark):
     assert len(best) == 1
 
 
+def test_inseparable_sources_are_all_compared(spark):
+    """Many different points inside the finest cube: the nearest one wins, not the one with the smallest coordinates."""
+    rng = random.Random(5)
+    spot = lambda: (30.0 + rng.randrange(40) * 2e-13, rng.randrange(40) * 1e-13)
+    catalog = sorted({spot() for _ in range(150)})
+    check(spark, [(30.0 + 3e-12, 2e-12), (30.0, 0.0), (30.001, 0.0), (29.999, -0.001)], catalog, 1.0, 4)
+
+
 def test_one_catalogue_row_per_galaxy(spark):
     galaxies = spark.createDataFrame([(1, 10.0, 5.0), (2, 10.0, 5.0), (3, None, 5.0)], "id int, ra double, dec double")
     catalog = spark.createDataFrame([(9, 10.0, 5.0, "b"), (8, 10.0, 5.0, "c")], "id int, ra double, dec double, name string")
