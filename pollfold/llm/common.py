@@ -15,6 +15,10 @@ from pollfold.sources.storage import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# characters beyond ASCII that a general lower() may change, those unknown to the pattern's Unicode version included
+OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}\p{Cn}&&[^\x00-\x7F]]"
+# tables are sent to all tasks up to this size
+BROADCAST_BYTES = 8 << 20
 # rows without id come after all others
 NO_ID = 2**63 - 1
 # text per step inside a task, so that memory does not depend on the batch
@@ -71,6 +75,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def small_or_not(table: DataFrame, row_bytes: int, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The written table of rows of ``row_bytes``, broadcast if its counted rows fit in ``most_bytes``."""
+    return F.broadcast(table) if table.count() * row_bytes <= most_bytes else table
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in runs of rows with about ``limit`` bytes of text, at least one row each."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import NO_ID, ascii_lower, columns_of, dropped, saved
+from pollfold.llm.common import NO_ID, OTHER_CAPITALS, ascii_lower, columns_of, dropped, saved, small_or_not
 
 PERCENT = 80
 # tokens are counted in this many hashed bins, a table of fixed size that every task can hold
@@ -14,8 +14,6 @@ RARITY_BINS = 1 << 20
 LEVELS = 4
 # prefix tokens by which a set meets its likely partner
 HEADS = 2
-# sets whose ids fit in this many bytes are sent to all tasks, others meet by a shuffle
-BROADCAST_BYTES = 8 << 20
 # sizes of one class differ by less than this share; a set also looks into the next class below
 SIZE_CLASS = 1.12
 # numbers of 64 bits that sum up a set before its tokens are read
@@ -25,8 +23,6 @@ LINES = 1 << 31
 # a text has few different words, so their hashes are short numbers in a dictionary of this size
 WORD_PAGES = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
 OTHER_SPACES = "\t\x0b\x0c\r"
-# characters beyond ASCII that lower() may change
-OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^\x00-\x7F]]"
 
 
 def plain(line: Column) -> Column:
@@ -180,15 +176,10 @@ def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame
     return pairs
 
 
-def small_or_not(ids: DataFrame) -> DataFrame:
-    """The written ids (a long each), broadcast if their counted rows fit in BROADCAST_BYTES."""
-    return F.broadcast(ids) if ids.count() * 8 <= BROADCAST_BYTES else ids
-
-
 def verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(set_id, set_check) of the later sets of the written ``pairs`` (a, b) that are similar, by their whole sets."""
     wanted = saved(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "line-candidates")
-    sets = lines.join(small_or_not(wanted), "set_id", "left_semi")
+    sets = lines.join(small_or_not(wanted, 8), "set_id", "left_semi")
     place = place_in_corpus(F.col("id"), F.col("line"))
     sets = sets.groupBy("set_id", "set_check", "words").agg(F.min(place).alias("first"))
     sets = sets.select("set_id", "set_check", "first", F.explode(F.array(tokens_of(F.col("words")))).alias("tokens"))

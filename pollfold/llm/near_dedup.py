@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollfold.llm.common import GAP, ascii_lower, columns_of, saved, slices, text_bytes
+from pollfold.llm.common import GAP, ascii_lower, columns_of, saved, slices, small_or_not, text_bytes
 from pollfold.llm.components import components
 from pollfold.llm.numtext import grams, mixed, word_hashes, words
 
@@ -208,7 +208,8 @@ def classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     members = saved(listed.join(shared, "bucket").select("bucket", "band", "weight", "node"), "members")
     candidates = saved(members.select("node").distinct(), "candidates")
     light = saved(unique.join(candidates, "node", "left_semi").select("node", "first_id", "n_shingles", "signature"), "candidate-signatures")
-    whole = texts.join(light.select("node", "first_id"), "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    # a node and an id are 32 bytes; without a broadcast all texts would be shuffled for the few that are candidates
+    whole = texts.join(small_or_not(light.select("node", "first_id"), 32), "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
     whole = saved(whole.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
