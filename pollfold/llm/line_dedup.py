@@ -155,7 +155,8 @@ def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame
 
     A pair decides only whether its later set goes, so a settled set asks for no partner; it stays a partner of later ones.
     """
-    marked = sets.join(sure.withColumn("sure", F.lit(True)), ["set_id", "set_check"], "left").withColumn("sure", F.coalesce("sure", F.lit(False)))
+    settled = small_or_not(sure.withColumn("sure", F.lit(True)), 17)
+    marked = sets.join(settled, ["set_id", "set_check"], "left").withColumn("sure", F.coalesce("sure", F.lit(False)))
     # a table, since the two sides of a join don't share a shuffle of exploded rows
     marked = marked.withColumns({"id": F.expr(f"first div {LINES}BD"), "line": F.expr(f"cast(first % {LINES}BD AS int)")})
     rows = saved(listed(marked, F.col("prefix"), "set_id", "size", "bits", "id", "line", "sure"), "line-prefixes", compression="zstd")
@@ -225,7 +226,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     levels = saved(rarities(lines), "line-rarities")
     sets = saved(distinct_sets(lines, levels, percent), "line-distinct", **WORD_PAGES)
     found = similar_sets(lines, sets, percent)
-    late = found.withColumn("late", F.lit(True))
+    late = small_or_not(found.withColumn("late", F.lit(True)), 17)
     verdicts = sets.select("set_id", "set_check", "first", "n").join(late, ["set_id", "set_check"], "left").where("n > 1 OR late")
     verdicts = verdicts.select("set_id", "set_check", "first", F.coalesce("late", F.lit(False)).alias("late"))
     light = lines.select("id", "digest", "line", "set_id", "set_check")
