@@ -31,8 +31,14 @@ ALLOWED = r"(?i)example|sample|placeholder|dummy|changeme|xxxxx|0123456789|abcde
 SPAN = "array<struct<kind: string, start: bigint, stop: bigint, found: string, nth: int>>"
 
 
+def once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: an expression is computed again wherever it stands, a lambda variable is not."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running(values: Column, start: Column, step) -> Column:
-    """For every entry of ``values`` what ``step`` has made of ``start`` and all entries before it; ``step`` is associative.
+    """For every entry of ``values`` what ``step`` has made of ``start`` and all entries before it; ``step`` is associative, and
+    ``start`` changes nothing.
 
     An array that grows by one entry is copied each time, so blocks of BLOCK entries are done on their own, each from what
     the blocks before it give: the copies grow with the entries, not with their square."""
@@ -42,28 +48,33 @@ def running(values: Column, start: Column, step) -> Column:
         add = lambda acc, x: F.struct(step(acc["now"], x).alias("now"), F.concat(acc["seen"], F.array(acc["now"])).alias("seen"))
         return F.aggregate(entries, state, add)["seen"]
 
-    last = F.greatest(F.ceil(F.size(values) / BLOCK) - 1, F.lit(0)).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
-    totals = F.transform(blocks, lambda block: F.aggregate(block, start, step))
-    # of a sum the start counts once: blocks are joined from their own totals
-    before = scan(totals, start)
-    return F.flatten(F.zip_with(blocks, before, scan))
+    def in_blocks(whole: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(whole) / BLOCK) - 1, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(whole, b * BLOCK + 1, BLOCK))
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, start, step))
+        return F.flatten(F.zip_with(blocks, scan(totals, start), scan))
+
+    return once(once(values, in_blocks), joined)
 
 
 def spans_of(text: Column, pattern: str, kind: str, nth: int) -> Column:
     """All matches as (kind, start, stop, found, nth), positions in code points: gaps and matches take turns."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     long = lambda array: F.transform(array, lambda x: F.length(x).cast("bigint"))
-    gaps = F.slice(long(F.split(text, pattern, -1)), F.lit(1), F.size(found))
-    ends = F.zip_with(gaps, long(found), lambda g, m: g + m)
-    starts = F.zip_with(running(ends, F.lit(0).cast("bigint"), lambda at, n: at + n), gaps, lambda at, g: at + g)
-    spans = F.zip_with(
-        starts,
-        found,
-        lambda at, m: F.struct(
-            F.lit(kind).alias("kind"), at.alias("start"), (at + F.length(m)).alias("stop"), m.alias("found"), F.lit(nth).alias("nth")
-        ),
+    span = lambda at, m: F.struct(
+        F.lit(kind).alias("kind"), at.alias("start"), (at + F.length(m)).alias("stop"), m.alias("found"), F.lit(nth).alias("nth")
     )
+
+    def placed(found: Column) -> Column:
+        def with_gaps(gaps: Column) -> Column:
+            ends = F.zip_with(gaps, long(found), lambda g, m: g + m)
+            starts = F.zip_with(running(ends, F.lit(0).cast("bigint"), lambda at, n: at + n), gaps, lambda at, g: at + g)
+            return F.zip_with(starts, found, span)
+
+        return once(F.slice(long(F.split(text, pattern, -1)), F.lit(1), F.size(found)), with_gaps)
+
+    spans = once(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
     # most texts have no match: they pay for one search only
     return F.when(F.rlike(text, F.lit(pattern)), spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
@@ -77,17 +88,20 @@ def by_start(spans: Column) -> Column:
 def apart_from(spans: Column, base: Column) -> Column:
     """The ``spans`` that overlap none of ``base``, which have ``nth`` up to len(BASE): one pass over both in order of start for
     base spans that start before, one backwards for those that start after."""
-    every = by_start(F.concat(base, spans))
     is_base = lambda s: s["nth"] <= len(BASE)
-    far = F.lit(2**62).cast("bigint")
-    stops = F.transform(every, lambda s: F.when(is_base(s), s["stop"]).otherwise(F.lit(0).cast("bigint")))
-    starts = F.transform(F.reverse(every), lambda s: F.when(is_base(s), s["start"]).otherwise(far))
-    reached = running(stops, F.lit(0).cast("bigint"), lambda x, y: F.greatest(x, y))
-    coming = F.reverse(running(starts, far, lambda x, y: F.least(x, y)))
-    judged = F.arrays_zip(every.alias("span"), reached.alias("reached"), coming.alias("coming"))
-    free = F.filter(judged, lambda x: ~is_base(x["span"]) & (x["reached"] <= x["span"]["start"]) & (x["coming"] >= x["span"]["stop"]))
-    kept = F.transform(free, lambda x: x["span"]).cast(SPAN)
-    return F.when((F.size(spans) > 0) & (F.size(base) > 0), kept).otherwise(spans)
+    zero, far = F.lit(0).cast("bigint"), F.lit(2**62).cast("bigint")
+
+    def free(every: Column) -> Column:
+        stops = F.transform(every, lambda s: F.when(is_base(s), s["stop"]).otherwise(zero))
+        starts = F.transform(F.reverse(every), lambda s: F.when(is_base(s), s["start"]).otherwise(far))
+        reached = running(stops, zero, lambda x, y: F.greatest(x, y))
+        coming = F.reverse(running(starts, far, lambda x, y: F.least(x, y)))
+        # a base span counts as reached by all, so that only the others are left
+        past = F.zip_with(every, reached, lambda s, r: F.when(~is_base(s) & (r <= s["start"]), s))
+        kept = F.zip_with(past, coming, lambda s, c: F.when(c >= s["stop"], s))
+        return F.filter(kept, lambda s: s.isNotNull()).cast(SPAN)
+
+    return F.when((F.size(spans) > 0) & (F.size(base) > 0), once(by_start(F.concat(base, spans)), free)).otherwise(spans)
 
 
 def base_spans(text: Column, nth: int, kind: str, pattern: str, group: int, least: int) -> Column:
