@@ -11,10 +11,11 @@ from tools.check_oracle import compare, connect
 SF_DIR = "/root/testdata/sf0.001"
 SAMPLE = [
     "attach_sky_catalog",
+    "chunk_pull",
     "cohort_months",
     "concentration_curve",
     "current_subjects",
-    "derive_labels",
+    "derive_annotations",
     "export_to_responses",
     "filter_rare_answers",
     "filter_then_reduce",
@@ -24,13 +25,17 @@ SAMPLE = [
     "predict_answers",
     "predict_survey_dictionary",
     "publish_survey_catalog",
+    "random_sample",
+    "rare_feature_maps",
     "rare_feature_table",
     "raw_to_reduced",
+    "rejected_annotations",
     "response_ids",
     "responses_to_votes",
     "running_flag_count",
     "sky_match_nearest",
     "stream_derived_to_flat",
+    "stream_three_arrivals",
     "time_buckets_fortnights",
     "volunteer_profiles",
     "votes_to_predictions",
