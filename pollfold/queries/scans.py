@@ -97,9 +97,9 @@ def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The export, written as CSV with doubled quotes and scanned strictly."""
+    """The export, written as compressed CSV with doubled quotes and scanned strictly."""
     path = scratch_path(spark, "export")
-    writers.write_csv(_export(spark, sf_dir), path)
+    writers.write_csv(_export(spark, sf_dir), path, compression="snappy")
     return readers.read_classification_export(spark, path)
 
 
@@ -281,7 +281,7 @@ def workflow_version_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_api_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
-    writers.write_json(raw_lines(spark, sf_dir), path)
+    writers.write_json(raw_lines(spark, sf_dir), path, compression="snappy")
     return readers.read_json(spark, path).select(
         "id",
         F.col("links.subject.id").alias("subject_id"),
@@ -414,7 +414,7 @@ def rejected_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     path = scratch_path(spark, "export")
-    writers.write_csv(damaged, path)
+    writers.write_csv(damaged, path, compression="snappy")
     records = readers.csv_records(spark, path, readers.CLASSIFICATION_EXPORT)
     checked = rejects.checked_cells(records, {"annotations": ANNOTATION_TEXT, "metadata": "map<string,string>"})
     found = rejects.routed(checked, scratch_path(spark, "routed"), "export")

@@ -66,6 +66,25 @@ def test_csv_round_trip_with_json_cells(spark, tmp_path):
     writers.write_csv(df, None)
 
 
+def test_compressed_text_is_small_and_in_bounded_files(spark, tmp_path, monkeypatch):
+    """Compressed files are not split by readers, so that each holds a bounded number of rows."""
+    monkeypatch.setattr(writers, "PER_FILE", 300)
+    rows = spark.range(1000).coalesce(1).selectExpr("cast(id AS string) AS id", "repeat('a, \"b\"', 20) AS cell")
+    for write, read, kind in (
+        (writers.write_csv, lambda path: readers.read_csv(spark, path), "csv"),
+        (writers.write_json, lambda path: readers.read_json(spark, path, "id string, cell string"), "json"),
+    ):
+        size = {}
+        for compression in (None, "snappy"):
+            path = tmp_path / f"{kind}-{compression}"
+            write(rows, str(path), compression=compression)
+            files = [f for f in path.iterdir() if f.name.startswith("part-")]
+            size[compression] = sum(f.stat().st_size for f in files)
+            assert rows_of(read(str(path))) == rows_of(rows)
+        assert sorted(f.suffix for f in files) == [".snappy"] * 4
+        assert 5 * size["snappy"] < size[None]
+
+
 def test_damaged_csv_stops_or_is_set_aside(spark, tmp_path):
     path = tmp_path / "damaged.csv"
     path.write_text('id,n,note\n1,2,"a, b"\nabc,3,x\n4,5\n6,7,y,z\n8,,\n')
