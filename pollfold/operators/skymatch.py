@@ -8,11 +8,15 @@ Crowding. A cube with more than ``leaf`` sources is never paired with its galaxi
 only occupied ones that can still hold the nearest source are kept: the nearest one lies no further than the far corner of
 some occupied cube, so cubes whose near corner is beyond that are out. This repeats, on crowded cubes only, until
 every remaining cube is small; sources at the very same position count once. Results are exact.
+
+Density. Where the radius spans many sources, most galaxies have one in their own cube of a far smaller edge. Its distance
+bounds the search, so each galaxy enters at the level of its bound and meets a few cubes, however dense the catalogue is.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +25,7 @@ from pyspark.sql import types as T
 from pollfold.functions.columns import c
 from pollfold.sources.storage import cut_lineage
 
-_FAN = 4  # a power of two, so that smaller cubes nest exactly in larger ones
+_FAN = 2  # a power of two, so that smaller cubes nest exactly in larger ones
 _AXES = ("x", "y", "z")
 _CUBE = ("cube_x", "cube_y", "cube_z")
 _SLACK = 1e-14  # rounding of unit vectors
@@ -81,43 +85,70 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
     """
     radius = 2 * math.sin(math.radians(min(max_sep_deg, 180.0)) / 2)
     edge = radius * (1 + 1e-9) + _SLACK
-    points = _on_sphere(catalog.dropna().distinct(), "c_ra", "c_dec")
+    points = cut_lineage(_on_sphere(catalog.dropna().distinct(), "c_ra", "c_dec"))
     searching = _on_sphere(galaxies.dropna().distinct(), "g_ra", "g_dec").withColumn("bound", F.lit(radius + _SLACK))
-    candidates = _touching(searching, edge)
-    found = None
+    levels = _levels(points.count(), edge)
+    candidates = cut_lineage(_entered(_narrowed(searching, points, edge, levels), edge, levels))
+    found, level = None, 0
     while True:
+        # cubes of one edge at a time: galaxies enter at the level of their bound, or come from a crowded cube of the level above
+        here = candidates.where(F.col("level") == level) if level <= levels else None
+        here = inside if here is None else here.drop("level") if level == 0 else inside.unionByName(here.drop("level"))
         placed = points.withColumns(_cube_of(edge))
-        crowded = placed.groupBy(*_CUBE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > leaf).select(*_CUBE)
+        counted = placed.groupBy(*_CUBE).agg(F.count(F.lit(1)).alias("n"))
         inseparable = edge < _FINEST
-        done = inseparable or crowded.isEmpty()
-        if done:
-            cubes = _inseparable(placed, leaf) if inseparable else placed.groupBy(*_CUBE).agg(_listed())
-        else:
-            small = placed.join(crowded, list(_CUBE), "left_anti").groupBy(*_CUBE).agg(_listed())
-            cubes = small.unionByName(crowded, allowMissingColumns=True)
-        reachable = candidates.join(cubes, list(_CUBE))
-        if found is not None:
-            # inside a crowd many cubes are near: keep those that can still win
-            reachable = _bounded(reachable, edge).filter(_distance_to_cube(edge, near=True) <= F.col("bound"))
-        closest = _closest(reachable)
+        # keys only: the sources of a cube join those galaxies that it can still be nearest to
+        reachable = _bounded(here.join(counted, list(_CUBE)), edge).where(_distance_to_cube(edge, near=True) <= F.col("bound"))
+        reachable = cut_lineage(reachable)
+        few = reachable if inseparable else reachable.where(F.col("n") <= leaf)
+        listed = placed.join(few.select(*_CUBE).distinct(), list(_CUBE), "left_semi")
+        cubes = _inseparable(listed, leaf) if inseparable else listed.groupBy(*_CUBE).agg(_listed())
+        closest = _closest(few.drop("n").join(cubes, list(_CUBE)))
         found = closest if found is None else found.unionByName(closest)
-        if done:
+        crowded = reachable.where(F.col("n") > leaf).drop("n")
+        if inseparable or (level >= levels and crowded.isEmpty()):
             break
-        # only crowded cubes and their contents go on, cut finer
-        points = cut_lineage(placed.join(crowded, list(_CUBE), "left_semi"))
-        finer = edge / _cut(points, edge)
-        children = points.select(*_CUBE, *[col.alias(f"child_{n}") for n, col in _cube_of(finer).items()]).distinct()
-        inside = _bounded(reachable, edge).filter("sources is null").drop("sources").join(children, list(_CUBE))
+        # crowded cubes are cut finer, and their galaxies meet the occupied parts
+        below = placed.join(crowded.select(*_CUBE).distinct(), list(_CUBE), "left_semi")
+        cut = _FAN if level < levels else _cut(below, edge)
+        finer = edge / cut
+        children = below.select(*_CUBE, *[col.alias(f"child_{n}") for n, col in _cube_of(finer).items()]).distinct()
+        inside = crowded.join(children, list(_CUBE))
         inside = inside.drop(*_CUBE).withColumnsRenamed({f"child_{n}": n for n in _CUBE})
-        edge = finer
-        candidates = cut_lineage(inside.filter(_distance_to_cube(edge, near=True) <= F.col("bound")))
-        points = points.drop(*_CUBE)
+        inside = inside.where(_distance_to_cube(finer, near=True) <= F.col("bound"))
+        if level >= levels:  # no galaxy enters below, so that sources outside of crowded cubes have done their part
+            inside, points = cut_lineage(inside), cut_lineage(below.drop(*_CUBE))
+        edge, level = finer, level + 1
     best = found.groupBy("g_ra", "g_dec").agg(F.min("nearest").alias("nearest"))
     pairs = best.select("g_ra", "g_dec", F.col("nearest.c_ra").alias("c_ra"), F.col("nearest.c_dec").alias("c_dec"))
     away = separation_deg(F.col("g_ra"), F.col("g_dec"), F.col("c_ra"), F.col("c_dec"))
     return pairs.withColumn("sky_separation", away).filter(F.col("sky_separation") <= max_sep_deg)
 
 
+def _levels(sources: int, edge: float) -> int:
+    """How often cubes are cut until their edge is the mean distance of so many sources spread over the whole sphere."""
+    return max(0, round(math.log(edge * math.sqrt(max(sources, 1) / (4 * math.pi)), _FAN)))
+
+
+def _narrowed(searching: DataFrame, points: DataFrame, edge: float, levels: int) -> DataFrame:
+    """Search bounds narrowed to the distance of one source in the galaxy's own cube, if any, of every level."""
+    cube = lambda: F.explode(F.array(*[F.struct(F.lit(k).alias("level"), *[v.alias(n) for n, v in _cube_of(edge / _FAN**k).items()]) for k in range(levels + 1)]))
+    place = F.struct(*[F.col(a).alias(f"near_{a}") for a in _AXES])
+    one = points.select(cube().alias("at"), place.alias("place")).groupBy("at").agg(F.min("place").alias("place"))
+    gaps = [F.col(a) - F.col(f"place.near_{a}") for a in _AXES]
+    away = F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]) + F.lit(_SLACK)
+    found = searching.select("g_ra", "g_dec", *_AXES, cube().alias("at")).join(one, "at").groupBy("g_ra", "g_dec").agg(F.min(away).alias("away"))
+    return searching.join(found, ["g_ra", "g_dec"], "left").withColumn("bound", F.least("bound", "away")).drop("away")
+
+
+def _entered(searching: DataFrame, edge: float, levels: int) -> DataFrame:
+    """Each galaxy with the cubes that its search sphere touches, at the finest ``level`` whose edge is not below its bound."""
+    fits = [F.when(F.col("bound") <= F.lit(edge / _FAN**k), F.lit(k)) for k in range(levels, 0, -1)]
+    placed = searching.withColumn("level", F.coalesce(*fits, F.lit(0)))
+    parts = [_touching(placed.where(F.col("level") == k), edge / _FAN**k) for k in range(levels + 1)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _on_sphere(df: DataFrame, ra: str, dec: str) -> DataFrame:
     lon, lat = F.radians(c(ra)), F.radians(c(dec))
     return df.withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})

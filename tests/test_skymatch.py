@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from pollfold.operators import skymatch
 from pollfold.operators.skymatch import nearest_positions, sky_match
 from tests.conftest import rows_of
 
@@ -91,3 +92,12 @@ def test_one_catalogue_row_per_galaxy(spark):
     matched, unmatched = sky_match(galaxies, catalog, 0.1, "_g", "_c", prefer="name")
     assert rows_of(matched, "id_g", "id_c", "name") == [(1, 9, "b"), (2, 9, "b")]
     assert rows_of(unmatched, "id") == [(3,)]
+
+
+def test_dense_catalogues_are_met_in_few_cubes(spark, monkeypatch):
+    """A radius that spans hundreds of sources: a galaxy is compared with a few dozen, not with all within the radius."""
+    compared, closest = [], skymatch._closest
+    monkeypatch.setattr(skymatch, "_closest", lambda rows: (compared.append(rows.selectExpr("coalesce(sum(size(sources)), 0)").first()[0]), closest(rows))[1])
+    sky = lambda n, seed, p: spark.range(n).selectExpr(f"360 * rand({seed}) AS {p}_ra", f"degrees(asin(2 * rand({seed + 1}) - 1)) AS {p}_dec")
+    assert nearest_positions(sky(50, 1, "g"), sky(20_000, 3, "c"), 8.0).count() == 50
+    assert 0 < sum(compared) < 50 * 100
