@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -22,7 +23,8 @@ BITS = 12
 # a model is sent to the tasks as arrays up to this size; a larger one stays in tables that the texts' grams are joined with
 SHIPPED_BYTES = 1 << 25
 MAX_LANGUAGES = 500
-CALIBRATION_ROWS = 2_000
+# steps of cross-entropy to a bit, by which the texts of a language are counted for its limit
+STEPS = 4096
 REJECT_ABOVE = 0.995
 UNKNOWN = "und"
 # weight of a text's evidence in the score, in letters at most
@@ -282,20 +284,22 @@ def train(docs: DataFrame, shipped_bytes: int = SHIPPED_BYTES) -> Model | Writte
     return model
 
 
-def calibrated(model: Model | WrittenModel, known: DataFrame, rows: int = CALIBRATION_ROWS) -> np.ndarray:
-    """Per language the cross-entropy that few of its own texts exceed, from about ``rows`` texts by the hash of their id."""
-    share = rows / max(known.count(), 1)
-    lot = F.pmod(F.xxhash64(F.lit(5), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(1 << 30))
-    sample = known.select("lang", "text").where(lot < int(share * (1 << 30)) + 1)
+def calibrated(model: Model | WrittenModel, known: DataFrame) -> np.ndarray:
+    """Per language the cross-entropy that few of its own texts exceed, over all learned texts.
 
+    Texts are counted per step of cross-entropy, of which there are few, so that the limit is found without sorting them; it
+    is the end of the step that holds the exact one.
+    """
     langs = model.langs
 
     def own(batch: pa.RecordBatch, bits: np.ndarray, _: np.ndarray) -> list:
-        return [batch["lang"], pa.array([bits[i, langs.index(x)] for i, x in enumerate(batch["lang"].to_pylist())], pa.float64())]
+        steps = [math.ceil(bits[i, langs.index(x)] * STEPS) for i, x in enumerate(batch["lang"].to_pylist())]
+        return [batch["lang"], pa.array(steps, pa.int64())]
 
-    found = scored(sample, model, own, "lang string, bits double")
-    got = found.groupBy("lang").agg(F.percentile("bits", REJECT_ABOVE).alias("limit")).collect()
-    limit = {r["lang"]: r["limit"] for r in got}
+    found = scored(known.select("lang", "text"), model, own, "lang string, step long")
+    counts = found.groupBy("lang", "step").agg(F.count("*").alias("n"))
+    got = counts.groupBy("lang").agg(F.ceil(F.percentile("step", REJECT_ABOVE, F.col("n"))).alias("limit")).collect()
+    limit = {r["lang"]: r["limit"] / STEPS for r in got}
     return np.array([limit.get(x, np.inf) for x in model.langs])
 
 

@@ -135,6 +135,16 @@ def test_kneser_ney_of_many_grams(spark, odd_docs):
             assert (a.score, a.bits) == (pytest.approx(b.score), pytest.approx(b.bits))
 
 
+def test_limits_are_of_all_learned_texts(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(5, 40))) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    bits = np.sort(model.entropies(texts)[0][:, 0])
+    exact = np.quantile(bits, language.REJECT_ABOVE)
+    assert exact <= model.limits[0] + 1e-9 and model.limits[0] <= exact + 2 / language.STEPS
+
+
 def test_language(spark, odd_docs):
     rng = random.Random(4)
     forms = {"en": ["the", "and", "with", "house", "thing"], "de": ["der", "und", "mit", "haus", "straße"], "ru": ["это", "и", "дом", "с", "вещь"]}
