@@ -56,11 +56,14 @@ def sky_match(
     the suffixes. Of several catalogue rows at one position the smallest (by ``prefer``, else by all columns in order)
     stands for all. ``unmatched`` are the galaxies with no source within ``max_sep_deg``.
     """
-    nearest = nearest_positions(
-        galaxies.select(c(ra).alias("g_ra"), c(dec).alias("g_dec")),
-        catalog.select(c(ra).alias("c_ra"), c(dec).alias("c_dec")),
-        max_sep_deg,
-        leaf,
+    # found once, whatever reads the two results and however often
+    nearest = cut_lineage(
+        nearest_positions(
+            galaxies.select(c(ra).alias("g_ra"), c(dec).alias("g_dec")),
+            catalog.select(c(ra).alias("c_ra"), c(dec).alias("c_dec")),
+            max_sep_deg,
+            leaf,
+        )
     )
     shared = set(galaxies.columns) & set(catalog.columns)
     left = galaxies.withColumns({"g_ra": c(ra), "g_dec": c(dec)})
@@ -71,9 +74,9 @@ def sky_match(
     right = catalog.groupBy(c(ra).alias("c_ra"), c(dec).alias("c_dec")).agg(row.alias("first"))
     right = right.select("c_ra", "c_dec", "first.row.*")
     right = right.withColumnsRenamed({name: name + catalog_suffix for name in shared})
-    matched = left.join(nearest, ["g_ra", "g_dec"]).join(right, ["c_ra", "c_dec"]).drop("g_ra", "g_dec", "c_ra", "c_dec")
+    matched = left.join(_shuffled(nearest), ["g_ra", "g_dec"]).join(_shuffled(right), ["c_ra", "c_dec"]).drop("g_ra", "g_dec", "c_ra", "c_dec")
     unmatched = galaxies.join(
-        nearest.select(F.col("g_ra").alias(ra), F.col("g_dec").alias(dec)), [ra, dec], "left_anti"
+        _shuffled(nearest.select(F.col("g_ra").alias(ra), F.col("g_dec").alias(dec))), [ra, dec], "left_anti"
     ).select(*[c(name) for name in galaxies.columns])
     return matched, unmatched
 
@@ -98,22 +101,22 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
         counted = placed.groupBy(*_CUBE).agg(F.count(F.lit(1)).alias("n"))
         inseparable = edge < _FINEST
         # keys only: the sources of a cube join those galaxies that it can still be nearest to
-        reachable = _bounded(here.join(counted, list(_CUBE)), edge).where(_distance_to_cube(edge, near=True) <= F.col("bound"))
+        reachable = _bounded(here.join(_shuffled(counted), list(_CUBE)), edge).where(_distance_to_cube(edge, near=True) <= F.col("bound"))
         reachable = cut_lineage(reachable)
         few = reachable if inseparable else reachable.where(F.col("n") <= leaf)
-        listed = placed.join(few.select(*_CUBE).distinct(), list(_CUBE), "left_semi")
+        listed = placed.join(_shuffled(few.select(*_CUBE).distinct()), list(_CUBE), "left_semi")
         cubes = _inseparable(listed, leaf) if inseparable else listed.groupBy(*_CUBE).agg(_listed())
-        closest = _closest(few.drop("n").join(cubes, list(_CUBE)))
+        closest = _closest(few.drop("n").join(_shuffled(cubes), list(_CUBE)))
         found = closest if found is None else found.unionByName(closest)
         crowded = reachable.where(F.col("n") > leaf).drop("n")
         if inseparable or (level >= levels and crowded.isEmpty()):
             break
         # crowded cubes are cut finer, and their galaxies meet the occupied parts
-        below = placed.join(crowded.select(*_CUBE).distinct(), list(_CUBE), "left_semi")
+        below = placed.join(_shuffled(crowded.select(*_CUBE).distinct()), list(_CUBE), "left_semi")
         cut = _FAN if level < levels else _cut(below, edge)
         finer = edge / cut
         children = below.select(*_CUBE, *[col.alias(f"child_{n}") for n, col in _cube_of(finer).items()]).distinct()
-        inside = crowded.join(children, list(_CUBE))
+        inside = crowded.join(_shuffled(children), list(_CUBE))
         inside = inside.drop(*_CUBE).withColumnsRenamed({f"child_{n}": n for n in _CUBE})
         inside = inside.where(_distance_to_cube(finer, near=True) <= F.col("bound"))
         if level >= levels:  # no galaxy enters below, so that sources outside of crowded cubes have done their part
@@ -125,6 +128,11 @@ def nearest_positions(galaxies: DataFrame, catalog: DataFrame, max_sep_deg: floa
     return pairs.withColumn("sky_separation", away).filter(F.col("sky_separation") <= max_sep_deg)
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """A side that is never broadcast: of a search with many levels, as many tables would be in the driver's memory at once."""
+    return side.hint("merge")
+
+
 def _levels(sources: int, edge: float) -> int:
     """How often cubes are cut until their edge is the mean distance of so many sources spread over the whole sphere."""
     return max(0, round(math.log(edge * math.sqrt(max(sources, 1) / (4 * math.pi)), _FAN)))
@@ -137,8 +145,8 @@ def _narrowed(searching: DataFrame, points: DataFrame, edge: float, levels: int)
     one = points.select(cube().alias("at"), place.alias("place")).groupBy("at").agg(F.min("place").alias("place"))
     gaps = [F.col(a) - F.col(f"place.near_{a}") for a in _AXES]
     away = F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]) + F.lit(_SLACK)
-    found = searching.select("g_ra", "g_dec", *_AXES, cube().alias("at")).join(one, "at").groupBy("g_ra", "g_dec").agg(F.min(away).alias("away"))
-    return searching.join(found, ["g_ra", "g_dec"], "left").withColumn("bound", F.least("bound", "away")).drop("away")
+    found = searching.select("g_ra", "g_dec", *_AXES, cube().alias("at")).join(_shuffled(one), "at").groupBy("g_ra", "g_dec").agg(F.min(away).alias("away"))
+    return searching.join(_shuffled(found), ["g_ra", "g_dec"], "left").withColumn("bound", F.least("bound", "away")).drop("away")
 
 
 def _entered(searching: DataFrame, edge: float, levels: int) -> DataFrame:
@@ -171,7 +179,7 @@ def _inseparable(placed: DataFrame, leaf: int) -> DataFrame:
     points = points.select(*_CUBE, *_AXES, "first.*")
     rows = points.groupBy(*_CUBE).agg(F.ceil(F.count(F.lit(1)) / leaf).cast("bigint").alias("rows"))
     part = F.pmod(F.xxhash64(*_AXES), F.col("rows")).alias("part")
-    return points.join(rows, list(_CUBE)).select("*", part).groupBy(*_CUBE, "part").agg(_listed()).drop("part")
+    return points.join(_shuffled(rows), list(_CUBE)).select("*", part).groupBy(*_CUBE, "part").agg(_listed()).drop("part")
 
 
 def _touching(galaxies: DataFrame, edge: float) -> DataFrame:
@@ -211,7 +219,7 @@ def _distance_to_cube(edge: float, near: bool) -> Column:
 def _bounded(reachable: DataFrame, edge: float) -> DataFrame:
     """Search bounds narrowed to the far corner of the closest occupied cube."""
     limits = reachable.groupBy("g_ra", "g_dec").agg(F.min(_distance_to_cube(edge, near=False)).alias("limit"))
-    narrowed = reachable.join(limits, ["g_ra", "g_dec"])
+    narrowed = reachable.join(_shuffled(limits), ["g_ra", "g_dec"])
     return narrowed.withColumn("bound", F.least("bound", F.col("limit") + F.lit(_SLACK))).drop("limit")
 
 

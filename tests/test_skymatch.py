@@ -101,3 +101,18 @@ def test_dense_catalogues_are_met_in_few_cubes(spark, monkeypatch):
     sky = lambda n, seed, p: spark.range(n).selectExpr(f"360 * rand({seed}) AS {p}_ra", f"degrees(asin(2 * rand({seed + 1}) - 1)) AS {p}_dec")
     assert nearest_positions(sky(50, 1, "g"), sky(20_000, 3, "c"), 8.0).count() == 50
     assert 0 < sum(compared) < 50 * 100
+
+
+def test_the_search_broadcasts_no_table(spark):
+    galaxies = spark.createDataFrame([(i, float(i % 50), float(i % 7)) for i in range(300)], "id long, ra double, dec double")
+    catalog = spark.createDataFrame([(i, i % 50 + 0.1, float(i % 7)) for i in range(300)], "id long, ra double, dec double")
+    before = _broadcasts(spark)
+    matched, unmatched = sky_match(galaxies, catalog, 0.5)
+    assert matched.count() == 300 and unmatched.isEmpty()
+    assert _broadcasts(spark) == before
+
+
+def _broadcasts(spark):
+    """How many joins of all plans so far had a broadcast side."""
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return sum(done.apply(i).physicalPlanDescription().count("BroadcastExchange") for i in range(done.size()))
