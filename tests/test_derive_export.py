@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pollfold.operators.joins import lookup_join, with_version
+from pollfold.functions.jsons import labelled_annotations
 from pollfold.plans.derive import derive
 from pollfold.plans.export import export_to_classifications, export_to_responses
 from pollfold.sources import readers
@@ -160,3 +161,13 @@ def test_malformed_export_fails(spark, tmp_path):
     write_export(path, [["1", "2", "3", "4", "5", "6"]])
     with pytest.raises(Exception, match="(?i)malformed"):
         readers.read_classification_export(spark, path).collect()
+
+
+def test_index_lists_are_parsed_once(spark):
+    strings = {"T0.question": "q", "T0.answers.0.label": "A", "T0.answers.12.label": 'B "b"'}
+    values = [" [0, 12] ", "[]", " 12 ", None]
+    rows = spark.createDataFrame([([("T0", v) for v in values], strings)], "a array<struct<task:string,value:string>>, s map<string,string>")
+    labelled = rows.select(labelled_annotations(F.col("a"), F.col("s")).alias("l"))
+    found = [(x.value, x.value_index, x.multiple_choice) for x in labelled.first().l]
+    assert found == [('["A","B \\"b\\""]', "[0,12]", True), ("[]", "[]", True), ('B "b"', "12", False)]
+    assert labelled._jdf.queryExecution().analyzed().toString().count("from_json") == 1
