@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,19 @@ PERCENT = 80
 RARITY_BINS = 1 << 20
 # levels of rarity to a doubling of the count; a level is below 128 for any count below 2**31
 LEVELS = 4
-# prefix tokens by which a set meets its likely partner
+# prefix tokens by which a set meets its likely partner: this many of the rarest and, as these may be the ones that only this
+# copy has, the first of every step of rarity (half a doubling of the count) after them
 HEADS = 2
+STEP_BITS = 1
 # sizes of one class differ by less than this share; a set also looks into the next class below
 SIZE_CLASS = 1.12
 # numbers of 64 bits that sum up a set before its tokens are read
 WIDE = 4
+# sets of this many tokens have sketches of 128 and 256 bits, as about all 64 bits of two of them may differ
+LONG, LONGER = 80, 160
+SKETCH = ("bits", "bits2", "bits3", "bits4")
+# tokens meet in this many parts, one after the other, so that disk holds the shuffle of one
+PARTS = 2
 # lines of one document are below this number
 LINES = 1 << 31
 # a text has few different words, so their hashes are short numbers in a dictionary of this size
@@ -92,16 +101,37 @@ def sketch(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(bit(t)))
 
 
+def sketches(tokens: Column) -> list[Column]:
+    """The columns of SKETCH: the sketch of a set, and for long sets those of its tokens with other next bits of the hash.
+
+    The sketch of 256 bits has w0 to w3 by two more bits of the hash, that of 128 bits w0 ^ w2 and w1 ^ w3, that of 64 bits
+    all four in one, so that sets of any two sizes can be compared. What a short set lacks is 0, which takes no room.
+    """
+    some = lambda bits, value: sketch(F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(bits) == value))
+    longer = lambda least, words: F.when(F.size(tokens) >= least, words).otherwise(F.lit(0).cast("long"))
+    words = [sketch(tokens), longer(LONG, some(1, 1)), longer(LONGER, some(3, 2)), longer(LONGER, some(3, 3))]
+    return [word.alias(name) for word, name in zip(words, SKETCH, strict=True)]
+
+
+def bits_apart(a_size: Column, b_size: Column, a_words: list[Column], b_words: list[Column]) -> Column:
+    """Bits that differ in the widest sketch both sets have: never more than the tokens that only one of them has."""
+    w, x, y, z = (a.bitwiseXOR(b) for a, b in zip(a_words, b_words, strict=True))
+    count = lambda *words: sum((F.bit_count(word) for word in words[1:]), F.bit_count(words[0]))
+    least = F.least(a_size, b_size)
+    wide = F.when(least >= LONGER, count(w.bitwiseXOR(x).bitwiseXOR(y), x.bitwiseXOR(z), y, z))
+    return wide.when(least >= LONG, count(w.bitwiseXOR(x), x)).otherwise(count(w))
+
+
 def place_in_corpus(id_: Column, line: Column) -> Column:
     """One number that orders lines by document and line; unlike a pair of columns its least value is a hash aggregate."""
     return (id_.cast("decimal(38,0)") * F.lit(LINES).cast("decimal(38,0)") + line.cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 def distinct_sets(lines: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
-    """(set_id, set_check, size, bits, prefix, first, n) of every set: its first line, its lines and its rarest tokens.
+    """(set_id, set_check, size, sketch columns, prefix, first, n) of every set: its first line, its lines and its rarest tokens.
 
     A set of n tokens has at least ceil(percent * n / 100) in common with a similar one, so one of its first
-    n - that + 1 in any common order. ``bits`` is the set's sketch.
+    n - that + 1 in any common order.
     """
     # level and part of the token's hash in one number: sorts by rarity, equal for equal tokens
     rank = lambda t: F.shiftleft(F.get("levels", rarity_bin(t)).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
@@ -112,11 +142,10 @@ def distinct_sets(lines: DataFrame, levels: DataFrame, percent: int) -> DataFram
     lines = lines.select("*", levels.scalar().alias("levels"))
     n = F.size("tokens")
     least = F.ceil(percent * n / F.lit(100)).cast("int")
-    bits = sketch(F.col("tokens"))
     prefix = F.slice(F.sort_array(F.transform("tokens", rank)), F.lit(1), n - least + 1)
-    chosen = lines.select("set_id", "set_check", n.alias("size"), bits.alias("bits"), prefix.alias("prefix"), "place")
+    chosen = lines.select("set_id", "set_check", n.alias("size"), *sketches(F.col("tokens")), prefix.alias("prefix"), "place")
     # repeated lines are one row from here on, put together before the shuffle and before their tokens are rows
-    return chosen.groupBy("set_id", "set_check", "size", "bits", "prefix").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    return chosen.groupBy("set_id", "set_check", "size", *SKETCH, "prefix").agg(F.min("place").alias("first"), F.count("*").alias("n"))
 
 
 def listed(sets: DataFrame, prefix: Column, *columns: str) -> DataFrame:
@@ -124,29 +153,45 @@ def listed(sets: DataFrame, prefix: Column, *columns: str) -> DataFrame:
     return sets.select(*columns, F.posexplode(prefix).alias("place", "token")).where(F.shiftright("token", 32) > 1)
 
 
-def may_be_similar(a: Column, b: Column, a_bits: Column, b_bits: Column, percent: int) -> Column:
+def parts_of(rows: DataFrame) -> list[DataFrame]:
+    """The written rows in PARTS parts by their token, whose low bits are those of a hash."""
+    return [rows.where(F.pmod("token", F.lit(PARTS)) == k) for k in range(PARTS)]
+
+
+def close_enough(a: Column, b: Column, apart: Column, percent: int) -> Column:
     """Sizes are near enough, and no more bits differ than tokens may."""
-    apart = F.bit_count(a_bits.bitwiseXOR(b_bits))
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (apart <= a + b - 2 * overlap_needed(a, b, percent))
 
 
+def heads_of(prefix: Column) -> Column:
+    """The tokens of a prefix by which a set meets its likely partner."""
+    step = lambda token: F.shiftright(token, 32 + STEP_BITS)
+    return F.filter(prefix, lambda t, i: (i < HEADS) | (step(t) != step(F.element_at(prefix, F.greatest(i, F.lit(1))))))
+
+
 def likely_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): for every set at most one other set, an earlier one of its class of sizes (or the one below) that has a rare
     token in common with it.
 
     Of a token's sets of one class only the earliest is met, so a group of copies makes as many pairs as it has members.
     """
-    heads = listed(sets, F.slice("prefix", 1, HEADS), "set_id", "first", "size", "bits").drop("place")
+    heads = listed(sets, heads_of(F.col("prefix")), "set_id", "first", "size", "bits").drop("place")
     heads = heads.withColumn("class", F.floor(F.log(F.col("size")) / F.log(F.lit(SIZE_CLASS))).cast("int"))
-    met = heads.groupBy("token", "class").agg(F.min_by(F.struct("first", "set_id", "size", "bits"), "first").alias("met"), F.count("*").alias("n"))
-    met = saved(met.select("token", "class", "met"), "line-heads", compression="zstd")
-    asking = heads.select("token", "set_id", "first", "size", "bits", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
-    found = asking.join(met, ["token", "class"]).where(F.col("first") > F.col("met.first"))
-    found = found.where(may_be_similar(F.col("size"), F.col("met.size"), F.col("bits"), F.col("met.bits"), percent))
-    apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("met.bits")))
-    nearest = found.groupBy("set_id").agg(F.min(F.struct(apart.alias("apart"), "met.first", "met.set_id")).alias("met"))
+    heads = saved(heads, "line-heads", compression="zstd")
+    parts = []
+    for some in parts_of(heads):
+        met = some.groupBy("token", "class").agg(F.min_by(F.struct("first", "set_id", "size", "bits"), "first").alias("met"))
+        met = saved(met, "line-met", compression="zstd")
+        # what is met goes to the class of those that ask, not they to two classes: it is fewer rows
+        wanted = met.select("token", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"), "met")
+        found = some.join(wanted, ["token", "class"]).where(F.col("first") > F.col("met.first"))
+        found = found.withColumn("apart", F.bit_count(F.col("bits").bitwiseXOR(F.col("met.bits"))))
+        found = found.where(close_enough(F.col("size"), F.col("met.size"), F.col("apart"), percent))
+        parts.append(saved(found.select("set_id", F.struct("apart", "met.first", "met.set_id").alias("met")), "line-found"))
+        dropped(met)
+    nearest = reduce(DataFrame.union, parts).groupBy("set_id").agg(F.min("met").alias("met"))
     pairs = saved(nearest.select(F.col("met.set_id").alias("a"), F.col("set_id").alias("b")), "line-likely")
-    dropped(met)
+    dropped(heads, *parts)
     return pairs
 
 
@@ -159,8 +204,17 @@ def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame
     marked = sets.join(settled, ["set_id", "set_check"], "left").withColumn("sure", F.coalesce("sure", F.lit(False)))
     # a table, since the two sides of a join don't share a shuffle of exploded rows
     marked = marked.withColumns({"id": F.expr(f"first div {LINES}BD"), "line": F.expr(f"cast(first % {LINES}BD AS int)")})
-    rows = saved(listed(marked, F.col("prefix"), "set_id", "size", "bits", "id", "line", "sure"), "line-prefixes", compression="zstd")
-    one, other = (rows.select("token", *[F.col(c).alias(x + c) for c in ("set_id", "size", "place", "bits", "id", "line", "sure")]) for x in ("a_", "b_"))
+    rows = saved(listed(marked, F.col("prefix"), "set_id", "size", *SKETCH, "id", "line", "sure"), "line-prefixes", compression="zstd")
+    parts = [saved(meeting(some, percent), "line-pairs") for some in parts_of(rows)]
+    pairs = saved(reduce(DataFrame.union, parts).distinct(), "line-pairs")
+    dropped(rows, *parts)
+    return pairs
+
+
+def meeting(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the sets in ``rows`` that have a token in common and pass all filters, a before b."""
+    one, other = (rows.select("token", *[F.col(c).alias(x + c) for c in ("set_id", "size", "place", *SKETCH, "id", "line", "sure")]) for x in ("a_", "b_"))
+    a_words, b_words = ([F.col(x + w) for w in SKETCH] for x in ("a_", "b_"))
     a, b = F.col("a_size"), F.col("b_size")
     rest = F.least(a - F.col("a_place"), b - F.col("b_place"))
     pairs = one.join(
@@ -169,12 +223,10 @@ def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame
         # both sides in each condition, so that none is pushed below the shuffle that the sides share
         & ((F.col("a_id") < F.col("b_id")) | (F.col("a_id") == F.col("b_id")) & (F.col("a_line") < F.col("b_line")))
         & (~F.col("b_sure") | F.col("a_sure").isNull())
-        & may_be_similar(a, b, F.col("a_bits"), F.col("b_bits"), percent)
+        & close_enough(a, b, bits_apart(a, b, a_words, b_words), percent)
         & (rest >= overlap_needed(a, b, percent)),
     )
-    pairs = saved(pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct(), "line-pairs")
-    dropped(rows)
-    return pairs
+    return pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct()
 
 
 def verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:

@@ -79,6 +79,31 @@ def test_lines(spark, seed):
     assert line_dedup.line_dedup(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["copies", "long"])
+def test_line_pairs_grow_with_lines(spark, kind):
+    """Copies that each have rare words of their own, and unlike lines so long that a sketch of 64 bits tells none apart."""
+    rng = random.Random(7)
+    if kind == "copies":
+        base, odd = [f"w{i}" for i in range(60)], [f"odd{i}" for i in range(300)]
+        texts = []
+        for _ in range(300):
+            words = list(base)
+            for i in rng.sample(range(60), 3):
+                words[i] = rng.choice(odd)
+            texts.append(" ".join(words))
+    else:
+        texts = [" ".join(rng.sample([f"w{i}" for i in range(1500)], rng.randint(70, 260))) for _ in range(150)]
+        texts += [" ".join(t.split(" ")[: rng.randint(60, 240)] + ["new"] * rng.randint(0, 1)) for t in texts[:60]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = saved(line_dedup.lines_of(docs), "lines")
+    sets = saved(line_dedup.distinct_sets(lines, saved(line_dedup.rarities(lines), "rarities"), 80), "sets")
+    likely = line_dedup.likely_pairs(sets, 80)
+    others = line_dedup.candidate_pairs(sets, line_dedup.verified(lines, likely, 80), 80)
+    assert likely.count() + others.count() <= 3 * len(rows)
+    assert Counter(map(tuple, line_dedup.line_dedup(docs).collect())) == brute_lines(rows)
+
+
 @pytest.mark.parametrize("block", [400_000, 60])
 def test_near(spark, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block)
