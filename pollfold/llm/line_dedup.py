@@ -26,7 +26,7 @@ WIDE = 4
 LONG, LONGER = 80, 160
 SKETCH = ("bits", "bits2", "bits3", "bits4")
 # tokens meet in this many parts, one after the other, so that disk holds the shuffle of one
-PARTS = 2
+PARTS = 3
 # lines of one document are below this number
 LINES = 1 << 31
 # a text has few different words, so their hashes are short numbers in a dictionary of this size
