@@ -39,7 +39,8 @@ def response_id(classification: Column, question: Column, response: Column, kind
 
 def whole_number(text: Column) -> Column:
     """``290475.0`` and ``290475`` both as ``290475``; null when the text is not a number."""
-    exact = text.try_cast("bigint")
+    # a text with a point is no bigint, and to find that out by trying costs an exception a row
+    exact = F.when(~F.contains(text, F.lit(".")), text.try_cast("bigint"))
     return F.coalesce(exact, text.try_cast("double").try_cast("bigint")).cast("string")
 
 

@@ -20,6 +20,9 @@ BROWSER_METADATA = (
     "workflow_translation_id string"
 )
 
+# the first key of an object, if it is written without escapes
+FIRST_KEY = r'^([ \t\r\n]*\{[ \t\r\n]*)"[^"\\\x00-\x1F]*"'
+
 # a damaged cell fails the job; permissive parsing would make it null and lose what it holds
 STRICT = {"mode": "FAILFAST"}
 
@@ -32,9 +35,11 @@ def string_map(text: Column) -> Column:
 def first_member(text: Column) -> Column:
     """First value of a JSON object whose values are objects, as ``map<string,string>``.
 
-    Subject data is an object with one member, keyed by the subject id.
+    Subject data is an object with one member, keyed by the subject id. That key is not asked for and gets a fixed name, since
+    the parser keeps a table of all names it meets and copies it whenever a new one comes.
     """
-    return F.element_at(F.map_values(F.from_json(text, "map<string,map<string,string>>", STRICT)), 1)
+    named = F.regexp_replace(text, FIRST_KEY, '$1"0"')
+    return F.element_at(F.map_values(F.from_json(named, "map<string,map<string,string>>", STRICT)), 1)
 
 
 def first_present(members: Column, keys: Sequence[str]) -> Column:

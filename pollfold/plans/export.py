@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pollfold.dictionaries import DR5, MULTIPLE_CHOICE_LABEL, PUBLIC_LAUNCH
 from pollfold.dictionary import QuestionSet
 from pollfold.functions.ids import person_id
 from pollfold.functions.jsons import browser_metadata, export_annotations, first_member, first_present
-from pollfold.functions.times import api_time
+from pollfold.functions.times import api_time, whole_seconds
 from pollfold.plans.derive import EXTERNAL_NAME_KEYS
 from pollfold.plans.flatten import flatten
 
@@ -28,9 +28,15 @@ def export_to_classifications(
 
     Labels are matched by their start: the published wording of the rare-features question grew over time.
     """
+    return _classifications(export, api_time(F.col("created_at")), multiple_choice_labels, name_keys, project_id)
+
+
+def _classifications(
+    export: DataFrame, created_at: Column, multiple_choice_labels: Sequence[str], name_keys: Sequence[str], project_id: str
+) -> DataFrame:
     return export.select(
         "classification_id",
-        api_time(F.col("created_at")).alias("created_at"),
+        created_at.alias("created_at"),
         F.lit(project_id).alias("project_id"),
         "workflow_id",
         F.col("workflow_version").cast("string").alias("workflow_version"),
@@ -50,5 +56,7 @@ def export_to_responses(
     start: str | None = PUBLIC_LAUNCH,
     **options,
 ) -> DataFrame:
-    """Export straight to the flat response table."""
-    return flatten(export_to_classifications(export, multiple_choice_labels), dictionary, start=start, **options)
+    """Export straight to the flat response table, with times that are not written and read again on the way."""
+    times = whole_seconds(F.col("created_at"))
+    classifications = _classifications(export, times, multiple_choice_labels, EXTERNAL_NAME_KEYS, PROJECT_ID)
+    return flatten(classifications, dictionary, start=start, **options)

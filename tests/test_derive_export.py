@@ -156,6 +156,15 @@ def test_export_scan_and_flatten(spark, tmp_path):
     ]
 
 
+def test_export_times_are_not_written_and_read_again(spark, tmp_path):
+    answers = [{"task": "T0", "task_label": "Smooth?", "value": "Smooth"}]
+    path = str(tmp_path / "export.csv")
+    write_export(path, [export_row(1, "", "", "2018-03-20 12:00:00.75 UTC", answers, {"iauname": "J1"})])
+    responses = export_to_responses(readers.read_classification_export(spark, path))
+    assert rows_of(responses.select(F.col("created_at").cast("string"))) == [("2018-03-20 12:00:00",)]
+    assert "date_format" not in responses._jdf.queryExecution().analyzed().toString()
+
+
 def test_malformed_export_fails(spark, tmp_path):
     path = str(tmp_path / "export.csv")
     write_export(path, [["1", "2", "3", "4", "5", "6"]])

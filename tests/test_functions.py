@@ -131,6 +131,25 @@ def test_first_member_and_keys(spark):
     assert tuple(row) == ("J1", None, "3")
 
 
+def test_first_member_without_its_key(spark):
+    cells = [' { "5" : {"a":"1"},"0":{"a":"2"}}', '{"0":{"a":"9"},"0":{"b":"3"}}', '{"a\\"b":{"x":"$1"}}', "{'5':{'a':'1'}}", '{"5":null}', None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cells)], "i int, s string")
+    found = df.select("i", jsons.first_member(F.col("s")).alias("m"))
+    assert [r.m for r in found.orderBy("i").collect()] == [{"a": "1"}, {"a": "9"}, {"x": "$1"}, {"a": "1"}, None, None]
+    # names differ from row to row, and every new one makes the parser copy its table of names
+    renamed = df.select("i", F.regexp_replace("s", jsons.FIRST_KEY, '$1"0"').alias("s")).orderBy("i").first()
+    assert renamed.s == ' { "0" : {"a":"1"},"0":{"a":"2"}}'
+    assert "regexp_replace" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_whole_numbers_with_a_point(spark):
+    cells = ["12.0", " 12 ", "+.5", "a.b", "1e3", "9007199254740993", "9007199254740993.0", "", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cells)], "i int, s string")
+    found = df.select("i", ids.whole_number(F.col("s")).alias("n"))
+    assert [r.n for r in found.orderBy("i").collect()] == ["12", "12", "0", None, "1000", "9007199254740993", "9007199254740992", None, None]
+    assert "Contains(s" in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_export_annotations(spark):
     cell = json.dumps(
         [
