@@ -92,7 +92,7 @@ def overlap_needed(a: Column, b: Column, percent: int) -> Column:
 
 
 def bit(token: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(token, F.lit(64)).cast("int"))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
 
 
 def sketch(tokens: Column) -> Column:
@@ -127,6 +127,15 @@ def place_in_corpus(id_: Column, line: Column) -> Column:
     return (id_.cast("decimal(38,0)") * F.lit(LINES).cast("decimal(38,0)") + line.cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
+def corpus_place(place: Column) -> dict[str, Column]:
+    """The document and line of a place, two short numbers that are compared faster than one of 38 digits.
+
+    Of negative documents they are the quotient and rest towards zero, which are in the same order.
+    """
+    lines = F.lit(LINES).cast("decimal(38,0)")
+    return {"id": F.call_function("div", place, lines), "line": (place % lines).cast("int")}
+
+
 def distinct_sets(lines: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
     """(set_id, set_check, size, sketch columns, prefix, first, n) of every set: its first line, its lines and its rarest tokens.
 
@@ -134,7 +143,9 @@ def distinct_sets(lines: DataFrame, levels: DataFrame, percent: int) -> DataFram
     n - that + 1 in any common order.
     """
     # level and part of the token's hash in one number: sorts by rarity, equal for equal tokens
-    rank = lambda t: F.shiftleft(F.get("levels", rarity_bin(t)).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
+    # every bin has a level; said so, the numbers are known not to be null, and arrays of them are sorted without boxes
+    level = lambda t: F.coalesce(F.get("levels", rarity_bin(t)), F.lit(0).cast("tinyint"))
+    rank = lambda t: F.shiftleft(level(t).cast("long"), 32).bitwiseOR(t.bitwiseAND(0xFFFFFFFF))
     # as the one row of a generator the tokens are made once, not again in every expression that uses them
     place = place_in_corpus(F.col("id"), F.col("line")).alias("place")
     lines = lines.select("set_id", "set_check", place, F.explode(F.array(tokens_of(F.col("words")))).alias("tokens"))
@@ -175,19 +186,21 @@ def likely_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
     Of a token's sets of one class only the earliest is met, so a group of copies makes as many pairs as it has members.
     """
-    heads = listed(sets, heads_of(F.col("prefix")), "set_id", "first", "size", "bits").drop("place")
+    placed = sets.withColumns(corpus_place(F.col("first")))
+    heads = listed(placed, heads_of(F.col("prefix")), "set_id", "id", "line", "size", "bits").drop("place")
     heads = heads.withColumn("class", F.floor(F.log(F.col("size")) / F.log(F.lit(SIZE_CLASS))).cast("int"))
     heads = saved(heads, "line-heads", compression="zstd")
     parts = []
     for some in parts_of(heads):
-        met = some.groupBy("token", "class").agg(F.min_by(F.struct("first", "set_id", "size", "bits"), "first").alias("met"))
+        met = some.groupBy("token", "class").agg(F.min(F.struct("id", "line", "set_id", "size", "bits")).alias("met"))
         met = saved(met, "line-met", compression="zstd")
         # what is met goes to the class of those that ask, not they to two classes: it is fewer rows
         wanted = met.select("token", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"), "met")
-        found = some.join(wanted, ["token", "class"]).where(F.col("first") > F.col("met.first"))
+        later = (F.col("id") > F.col("met.id")) | (F.col("id") == F.col("met.id")) & (F.col("line") > F.col("met.line"))
+        found = some.join(wanted, ["token", "class"]).where(later)
         found = found.withColumn("apart", F.bit_count(F.col("bits").bitwiseXOR(F.col("met.bits"))))
         found = found.where(close_enough(F.col("size"), F.col("met.size"), F.col("apart"), percent))
-        parts.append(saved(found.select("set_id", F.struct("apart", "met.first", "met.set_id").alias("met")), "line-found"))
+        parts.append(saved(found.select("set_id", F.struct("apart", "met.id", "met.line", "met.set_id").alias("met")), "line-found"))
         dropped(met)
     nearest = reduce(DataFrame.union, parts).groupBy("set_id").agg(F.min("met").alias("met"))
     pairs = saved(nearest.select(F.col("met.set_id").alias("a"), F.col("set_id").alias("b")), "line-likely")
@@ -203,7 +216,7 @@ def candidate_pairs(sets: DataFrame, sure: DataFrame, percent: int) -> DataFrame
     settled = small_or_not(sure.withColumn("sure", F.lit(True)), 17)
     marked = sets.join(settled, ["set_id", "set_check"], "left").withColumn("sure", F.coalesce("sure", F.lit(False)))
     # a table, since the two sides of a join don't share a shuffle of exploded rows
-    marked = marked.withColumns({"id": F.expr(f"first div {LINES}BD"), "line": F.expr(f"cast(first % {LINES}BD AS int)")})
+    marked = marked.withColumns(corpus_place(F.col("first")))
     rows = saved(listed(marked, F.col("prefix"), "set_id", "size", *SKETCH, "id", "line", "sure"), "line-prefixes", compression="zstd")
     parts = [saved(meeting(some, percent), "line-pairs") for some in parts_of(rows)]
     pairs = saved(reduce(DataFrame.union, parts).distinct(), "line-pairs")

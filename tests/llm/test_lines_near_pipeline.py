@@ -257,3 +257,24 @@ def test_pipeline_stages(spark, tmp_path, seed):
     whole = corpus_pipeline.run(spark, str(tmp_path))
     got = Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in whole.collect())
     assert got == brute_mix(spark, expected[-1])
+
+
+def test_places_as_short_numbers_keep_their_order(spark):
+    from pollfold.llm.common import NO_ID
+    from pollfold.llm.line_dedup import LINES, corpus_place, place_in_corpus
+
+    ids, lines = (-NO_ID - 1, -2, -1, 0, 1, NO_ID), (0, 5, LINES - 1)
+    rows = [(i, n) for i in ids for n in lines]
+    places = spark.createDataFrame(rows, "i long, n int").select("i", "n", place_in_corpus(F.col("i"), F.col("n")).alias("first"))
+    found = [(r.id, r.line) for r in places.withColumns(corpus_place(F.col("first"))).orderBy("i", "n").collect()]
+    assert found == sorted(set(found)) and found[-len(lines) :] == [(NO_ID, n) for n in lines]
+
+
+def test_rarest_tokens_are_sorted_without_nulls(spark):
+    from pollfold.llm.line_dedup import distinct_sets, lines_of, rarities
+
+    lines = lines_of(spark.createDataFrame([(1, "a b b c\nd e")], "doc_id long, text string"))
+    sets = distinct_sets(lines, rarities(lines), 80)
+    # arrays that may hold nulls are sorted with boxes and an interpreted order
+    assert not sets.schema["prefix"].dataType.containsNull
+    assert sorted((r.size, len(r.prefix)) for r in sets.collect()) == [(2, 1), (3, 1)]
